@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orogrid.llm import simhash
+from orogrid.llm import recompress, simhash
 from orogrid.llm._shared import hex64
 
 
+def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.dedup_substrings(spark.read.parquet(f"{sf_dir}/documents.parquet"), window=13, digest=True)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = simhash.near_duplicates(docs, words=3, bits=2)
@@ -18,7 +22,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_simhash": op9_simhash}
+    return {"op5_recompression": op5_recompression, "op9_simhash": op9_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
