@@ -7,14 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orogrid.llm import recompress, simhash
+from orogrid.llm import fertility, mixing, recompress, simhash
 from orogrid.llm._shared import hex64
 
 
+def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    return fertility.assess(docs).select("row.doc_id", *(n for n, _ in fertility.FIELDS))
+
+
 def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.dedup_substrings(spark.read.parquet(f"{sf_dir}/documents.parquet"), window=13, digest=True)
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
+    sized = mixing.count_words(docs, keep_text=False)
+    out = mixing.mix(sized, F.array("row.source"), key=F.col("row.doc_id"))
+    return out.select("row.doc_id", "size", F.col("source_sizes")[0].alias("source_size"), F.col("targets")[0].alias("target"), "taken")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = simhash.near_duplicates(docs, words=3, bits=2)
@@ -22,7 +34,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_recompression": op5_recompression, "op9_simhash": op9_simhash}
+    return {"op1_fertility": op1_fertility, "op5_recompression": op5_recompression, "op7_mixing": op7_mixing, "op9_simhash": op9_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
