@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orogrid.llm import _words as W
+from orogrid.llm._shared import Scratch
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the vocabulary's publishers split text before the merges.
@@ -32,13 +33,18 @@ BANDS = {
 }
 #: Texts with fewer tokens are too short for the bands.
 LEAST_TOKENS = 30
+#: Inner bands, from the corpus: how many scaled median deviations a measure of a text of `FULL` tokens
+#: may lie from the median of its language (shorter texts: more, as the root of the length), for texts of
+#: USUAL tokens at least, the least deviation that counts, and texts that a language must have for this.
+AROUND = {"chars_per_token": (6.5, 6.5, 0.02), "byte_share": (None, 8.0, 0.005), "evenness": (2.0, None, 0.02)}
+FULL, USUAL, LEAST_TEXTS = 700, 100, 20
 #: Runs without white space are measured in pieces of this many characters at most.
 PIECE = 1 << 16
 
 FIELDS = [
     *((n, pa.int64()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens")),
     *((n, pa.float64()) for n in ("chars_per_token", "byte_share", "token_entropy")),
-    ("band", pa.string()), ("base_failed", pa.bool_()), ("kept", pa.bool_()),
+    ("band", pa.string()), ("base_failed", pa.bool_()), ("in_band", pa.bool_()),
 ]
 _TYPES = {pa.int64(): "long", pa.float64(): "double", pa.string(): "string", pa.bool_(): "boolean"}
 
@@ -155,24 +161,45 @@ def _measure(path: str, bands: dict):
                 low, high, most, entropy = np.array([bands.get(b, bands["other"]) for b in cols["band"]], float).reshape(-1, 4).T
                 n, cpt, share, bits = (np.array(cols[c], float) for c in ("n_tokens", "chars_per_token", "byte_share", "token_entropy"))
                 fits = (n < LEAST_TOKENS) | ((cpt >= low) & (cpt <= high) & (share <= most) & (bits >= entropy * np.log2(np.clip(n, 2, 1000))))
-                cols |= base | {"base_failed": failed, "kept": ~failed & fits}
+                cols |= base | {"base_failed": failed, "in_band": fits}
                 yield pa.RecordBatch.from_arrays([rows.slice(at, to - at), *(pa.array(cols[n], t) for n, t in FIELDS)], ["row", *(n for n, _ in FIELDS)])
 
     return run
 
 
-def assess(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", vocabulary: str = VOCABULARY, bands: dict | None = None) -> DataFrame:
-    """(row, measures, base_failed, kept) of every row; row is a struct of all columns of docs, so names can't clash.
+def _inner(measured: DataFrame) -> DataFrame:
+    """By band, the exact median and scaled median deviation of each measure over all usual texts (values to three digits)."""
+    usual = measured.where(f"n_tokens >= {USUAL} and not base_failed")
+    near = F.broadcast(usual.groupBy("band").agg(F.count("*").alias("texts"), *(F.percentile(F.round(c, 3), 0.5).alias(f"{c}_mid") for c in AROUND)))  # a row for each band: len(bands) at most
+    wide = (F.percentile(F.round(F.abs(F.col(c) - F.col(f"{c}_mid")), 3), 0.5).alias(f"{c}_dev") for c in AROUND)
+    return near.join(usual.join(near, "band").groupBy("band").agg(*wide), "band")
 
-    One pass over whole texts, without a shuffle. base_failed: fewer than 10 words, or over 20 % of
-    the words in five-word windows that the text repeats. kept: not base_failed, and characters per
-    token, single-byte share and token entropy within the band of the language, or of the script
-    with the most letters where the language is null or has no band. Texts of under LEAST_TOKENS
-    tokens pass the bands. Null and empty texts have no words and fail. Equal rows stay as many.
-    `vocabulary` is a file of ranks, read on each executor. An empty table gives an empty one.
+
+def assess(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", vocabulary: str = VOCABULARY, bands: dict | None = None, keep_text: bool = True) -> DataFrame:
+    """(row, measures, base_failed, in_band, kept) of every row; row is a struct of all columns of docs (keep_text: the text, too), so names can't clash.
+
+    One pass over whole texts measures them; only a few numbers are then shuffled. base_failed: fewer
+    than 10 words, or over 20 % of the words in five-word windows that the text repeats. in_band:
+    characters per token, single-byte share and token entropy (as a share of that of evenly used
+    tokens) within the outer band of the language, or of the script with the most letters where the
+    language is null or has no band. kept: not base_failed, in_band, and within the inner band that
+    the corpus itself gives for the language (see AROUND). Texts of under LEAST_TOKENS tokens pass
+    the outer bands, those under USUAL the inner ones. Null and empty texts have no words and fail.
+    Equal rows stay as many. `vocabulary` is a file of ranks, read on each executor. An empty table
+    gives an empty one.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if keep_text or c != text_col]).alias("row")
     lang = F.col(lang_col).cast("string") if lang_col and lang_col in docs.columns else F.lit(None).cast("string")
     data = docs.select(row, F.col(text_col).cast("string").alias("text"), lang.alias("lang"))
     schema = f"row {data.schema['row'].dataType.simpleString()}, " + ", ".join(f"{n} {_TYPES[t]}" for n, t in FIELDS)
-    return data.mapInArrow(_measure(vocabulary, bands or BANDS), schema)
+    measured = data.mapInArrow(_measure(vocabulary, bands or BANDS), schema)
+    measured = measured.withColumn("evenness", F.col("token_entropy") / F.log2(F.least(F.greatest("n_tokens", F.lit(2)), F.lit(1000))))
+    measured = Scratch(docs.sparkSession).keep(measured, "measured")
+    fits = F.lit(True)
+    slack = F.greatest(F.lit(1.0), F.sqrt(F.lit(FULL) / F.col("n_tokens")))
+    for c, (below, above, least) in AROUND.items():
+        off = (F.col(c) - F.col(f"{c}_mid")) / F.greatest(F.col(f"{c}_dev") * 1.4826, F.lit(least)) / slack
+        fits &= (off >= -below if below else F.lit(True)) & (off <= above if above else F.lit(True))
+    unusual = F.col("texts").isNull() | (F.col("texts") < LEAST_TEXTS) | (F.col("n_tokens") < USUAL)
+    kept = ~F.col("base_failed") & F.col("in_band") & (unusual | fits)
+    return measured.join(F.broadcast(_inner(measured)), "band", "left").select("row", *(n for n, _ in FIELDS), kept.alias("kept"))

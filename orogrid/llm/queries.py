@@ -13,7 +13,7 @@ from orogrid.llm._shared import hex64
 
 def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
-    return fertility.assess(docs).select("row.doc_id", *(n for n, _ in fertility.FIELDS))
+    return fertility.assess(docs, keep_text=False).select("row.doc_id", *(n for n, _ in fertility.FIELDS), "kept")
 
 
 def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
