@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 #: ASCII white space that separates words everywhere in this package.
 WORD = r"[^\x20\x09-\x0D]+"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,8 +28,14 @@ class Scratch:
         self.spark, self.base, self.made = spark, f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}", {}
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Writes df and reads it back; the shuffle files of the write go when it has ended."""
         path = f"{self.base}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        conf, before = self.spark.conf, self.spark.conf.get(CLEANUP, "false")
+        conf.set(CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            conf.set(CLEANUP, before)
         self.made[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -40,13 +47,6 @@ class Scratch:
             path = jvm.org.apache.hadoop.fs.Path(self.made.pop(name))
             path.getFileSystem(conf).delete(path, True)
 
-    def release(self) -> None:
-        """Lets Spark's cleaner delete the shuffle files of rounds whose results are already written."""
-        import gc
-
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-
 
 def hex64(c: Column) -> Column:
     return F.lower(F.lpad(F.hex(c), 16, "0"))
