@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orogrid.llm import fertility, mixing, recompress, simhash
+from orogrid.llm import decontaminate, fertility, linededup, mixing, recompress, simhash
 from orogrid.llm._shared import hex64
 
 
@@ -16,6 +16,11 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.assess(docs, keep_text=False).select("row.doc_id", *(n for n, _ in fertility.FIELDS), "kept")
 
 
+def op3_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return out.select("row.doc_id", "n_lines", "n_dropped", "n_near", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.dedup_substrings(spark.read.parquet(f"{sf_dir}/documents.parquet"), window=13, digest=True)
 
@@ -33,8 +38,14 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), hex64(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    out = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return out.select("row.doc_id", "contaminated", F.array_join("items", ",").alias("items"), F.col("score").cast("long").alias("score"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fertility": op1_fertility, "op5_recompression": op5_recompression, "op7_mixing": op7_mixing, "op9_simhash": op9_simhash}
+    return {"op1_fertility": op1_fertility, "op3_linededup": op3_linededup, "op5_recompression": op5_recompression, "op7_mixing": op7_mixing, "op9_simhash": op9_simhash, "op10_spaced_seeds": op10_spaced_seeds}
 
 
 def oracle_sql() -> dict[str, str]:
