@@ -204,19 +204,21 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     keyed = docs.withColumn("row", F.hash("text"))  # with the id, names a row
     signs = keyed.where("doc is not null").mapInArrow(_signs(window), "key long, check int, doc long, row int, at int, n int")
     signs = scratch.keep(signs, "signs")
-    owners = signs.groupBy("key", "check").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
+    owners = signs.groupBy("key", "check").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most")
+    owners = scratch.keep(owners, "owners")  # written first, so that Spark can split the places of a very common key in the join
     # a covered span needs an earlier document; an anchor only another one
-    found = signs.join(owners.drop("most"), ["key", "check"]).where("n = 0 or least < doc").select("doc", "row", "at", "n")
+    found = signs.join(owners, ["key", "check"]).where("n = 0 or least < doc").select("doc", "row", "at", "n")
     span = F.collect_list(F.when(F.col("n") > 0, F.struct("at", "n"))).alias("spans")
     places = scratch.keep(found.groupBy("doc", "row").agg(span, F.collect_list(F.when(F.col("n") == 0, F.col("at"))).alias("marks")), "places")
-    scratch.drop("signs")
+    scratch.drop("signs", "owners")
     todo = keyed.join(places.where("size(marks) > 0"), ["doc", "row"]).select("doc", "text", "row", "spans", "marks")
     windows = scratch.keep(todo.mapInArrow(_windows(window), "k1 long, k2 long, doc long, row int, at int"), "windows")
     first = windows.groupBy("k1", "k2").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most")
+    first = scratch.keep(first, "first")
     repeated = windows.join(first, ["k1", "k2"]).where("least < doc").groupBy("doc", "row").agg(F.collect_list("at").alias("starts"))
     gone = places.where("size(spans) > 0").select("doc", "row", "spans").join(repeated, ["doc", "row"], "full")
     gone = scratch.keep(gone, "gone")
-    scratch.drop("windows", "places")
+    scratch.drop("windows", "first", "places")
     out = keyed.join(gone, ["doc", "row"], "left").select("doc", "text", "spans", "starts")
     schema = "doc_id long, n_words long, n_removed long, "
     return out.mapInArrow(_finish_digest(window), schema + "kept_sha256 string") if digest else out.mapInArrow(_finish(window), schema + "kept_text string")
