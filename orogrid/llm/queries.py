@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orogrid.llm import decontaminate, fertility, linededup, mixing, recompress, simhash
+from orogrid.llm import chat, decontaminate, fertility, linededup, mixing, recompress, simhash
 from orogrid.llm._shared import hex64
 
 
@@ -25,6 +25,17 @@ def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.dedup_substrings(spark.read.parquet(f"{sf_dir}/documents.parquet"), window=13, digest=True)
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    more = spark.range(2).selectExpr("-7L as conv_id", "id as turn", "if(id = 0, 'user', 'assistant') as role", f"'{hard}' as text")
+    out = chat.read_chats(chat.format_chats(rows.unionByName(more)))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars"
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
     sized = mixing.count_words(docs, keep_text=False)
@@ -45,7 +56,7 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fertility": op1_fertility, "op3_linededup": op3_linededup, "op5_recompression": op5_recompression, "op7_mixing": op7_mixing, "op9_simhash": op9_simhash, "op10_spaced_seeds": op10_spaced_seeds}
+    return {"op1_fertility": op1_fertility, "op3_linededup": op3_linededup, "op5_recompression": op5_recompression, "op6_chat": op6_chat, "op7_mixing": op7_mixing, "op9_simhash": op9_simhash, "op10_spaced_seeds": op10_spaced_seeds}
 
 
 def oracle_sql() -> dict[str, str]:
