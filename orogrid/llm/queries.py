@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orogrid.llm import chat, decontaminate, fertility, linededup, mixing, recompress, simhash
+from orogrid.llm import chat, decontaminate, fertility, linededup, mixing, recompress, simhash, urlmodel
 from orogrid.llm._shared import hex64
 
 
@@ -16,6 +16,11 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.assess(docs, keep_text=False).select("row.doc_id", *(n for n, _ in fertility.FIELDS), "kept")
 
 
+def op2_urlmodel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = urlmodel.filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url"))
+    return out.select("row.page_id", "host", "path", "rule", "verdict")
+
+
 def op3_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return out.select("row.doc_id", "n_lines", "n_dropped", "n_near", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -56,7 +61,7 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fertility": op1_fertility, "op3_linededup": op3_linededup, "op5_recompression": op5_recompression, "op6_chat": op6_chat, "op7_mixing": op7_mixing, "op9_simhash": op9_simhash, "op10_spaced_seeds": op10_spaced_seeds}
+    return {"op1_fertility": op1_fertility, "op2_urlmodel": op2_urlmodel, "op3_linededup": op3_linededup, "op5_recompression": op5_recompression, "op6_chat": op6_chat, "op7_mixing": op7_mixing, "op9_simhash": op9_simhash, "op10_spaced_seeds": op10_spaced_seeds}
 
 
 def oracle_sql() -> dict[str, str]:
