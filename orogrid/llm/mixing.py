@@ -103,26 +103,26 @@ def route(patterns: list[tuple[tuple[int, ...], int]], quotas: list[int], copies
 
 
 def _fill(rows: DataFrame, needs: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
-    """(pattern, below): rows with draw < below have at most need words together; found by LEVELS histogram passes.
+    """(pid, below): rows with draw < below have at most need words together; found by LEVELS histogram passes.
 
     Each pass splits the bucket in which the sum passes the need into 2**BITS; nothing is sorted or
     gathered but one number for each pattern and bucket."""
-    at = needs.select("pattern", "need", F.lit(0).cast("long").alias("below"))
+    at = needs.select("pid", "need", F.lit(0).cast("long").alias("below"))
     for level in range(LEVELS):
         shift = BITS * (LEVELS - level - 1)
-        inside = rows.join(F.broadcast(at), "pattern")  # a row for each pattern: MOST_PATTERNS at most
+        inside = rows.join(F.broadcast(at), "pid")  # a row for each pattern: MOST_PATTERNS at most
         inside = inside.where("draw >= below" if not level else f"shiftright(draw, {shift + BITS}) = shiftright(below, {shift + BITS})")
-        bucket = inside.groupBy("pattern", F.shiftright("draw", shift).alias("bucket")).agg(F.sum("size").alias("words"))
-        listed = bucket.groupBy("pattern").agg(F.array_sort(F.collect_list(F.struct("bucket", "words"))).alias("list"))  # at most 2**BITS for each pattern
+        bucket = inside.groupBy("pid", F.shiftright("draw", shift).alias("bucket")).agg(F.sum("size").alias("words"))
+        listed = bucket.groupBy("pid").agg(F.array_sort(F.collect_list(F.struct("bucket", "words"))).alias("list"))  # at most 2**BITS for each pattern
         step = F.aggregate(
             "list",
             F.struct(F.lit(0).cast("long").alias("sum"), F.lit(None).cast("long").alias("at")),
             lambda a, x: F.when(a["at"].isNotNull(), a).when(a["sum"] + x["words"] > F.col("need"), F.struct(a["sum"].alias("sum"), x["bucket"].alias("at"))).otherwise(F.struct((a["sum"] + x["words"]).alias("sum"), a["at"].alias("at"))),
         )
-        now = at.join(listed, "pattern", "left").withColumn("step", step)
+        now = at.join(listed, "pid", "left").withColumn("step", step)
         top = F.shiftleft(F.shiftright("below", shift + BITS) + 1, shift + BITS) if level else F.lit(1 << (BITS * LEVELS)).cast("long")
         below = F.when(F.col("list").isNull(), F.col("below")).when(F.col("step.at").isNull(), top).otherwise(F.shiftleft("step.at", shift))
-        at = scratch.keep(now.select("pattern", (F.col("need") - F.coalesce("step.sum", F.lit(0))).alias("need"), below.cast("long").alias("below")), f"{tag}-{level}")
+        at = scratch.keep(now.select("pid", (F.col("need") - F.coalesce("step.sum", F.lit(0))).alias("need"), below.cast("long").alias("below")), f"{tag}-{level}")
     return at
 
 
@@ -141,12 +141,14 @@ def mix(sized: DataFrame, sources: Column, weights: list[float] | None = None, s
     weights = weights or [1.0, 2.0, 3.0]
     pattern = F.array_sort(F.array_distinct(F.transform(sources, lambda s: F.struct(s.isNull().alias("none"), s.alias("name")))))
     draw = F.shiftrightunsigned(F.xxhash64(key if key is not None else F.to_json("row"), F.lit(seed)), 64 - BITS * LEVELS)
-    rows = scratch.keep(sized.select("row", "size", pattern.alias("pattern"), draw.alias("draw")), "rows")
-    totals = rows.groupBy("pattern").agg(F.sum("size").alias("words")).limit(MOST_PATTERNS + 1).collect()
+    rows = scratch.keep(sized.select("row", "size", pattern.alias("pattern"), F.xxhash64(pattern).alias("pid"), draw.alias("draw")), "rows")
+    totals = rows.groupBy("pid", "pattern").agg(F.sum("size").alias("words")).limit(MOST_PATTERNS + 1).collect()
     if len(totals) > MOST_PATTERNS:
         raise ValueError(f"over {MOST_PATTERNS} membership patterns; group the sources first")
     if not totals:
         return rows.select("row", "size", F.array(F.lit(0).cast("long")).alias("source_sizes"), F.array(F.lit(0.0)).alias("targets"), F.lit(0).cast("long").alias("taken"))
+    if len({r.pid for r in totals}) < len(totals):
+        raise ValueError("two membership patterns share a hash; rename a source")
     totals.sort(key=lambda r: [(m.none, m.name or "") for m in r.pattern])
     names = sorted({(m.none, m.name or "") for r in totals for m in r.pattern})
     number = {n: i for i, n in enumerate(names)}
@@ -159,26 +161,25 @@ def mix(sized: DataFrame, sources: Column, weights: list[float] | None = None, s
     for r, m, use in zip(totals, members, flow, strict=True):
         words = sum(use.values())
         full = words // r.words if r.words else 0
-        plan.append((r.pattern, int(full), int(words - full * r.words), [int(sizes[i]) for i in m], [float(targets[i]) for i in m]))
-    kind = rows.schema["pattern"].dataType.simpleString()
-    plan = sized.sparkSession.createDataFrame(plan, f"pattern {kind}, full long, need long, source_sizes array<long>, targets array<double>").coalesce(1)
+        plan.append((r.pid, int(full), int(words - full * r.words), [int(sizes[i]) for i in m], [float(targets[i]) for i in m]))
+    plan = sized.sparkSession.createDataFrame(plan, "pid long, full long, need long, source_sizes array<long>, targets array<double>").coalesce(1)
     # the seeded order first, then two rounds that fill what is left with documents that fit
-    state = rows.select("pattern", "draw", "size").where("size > 0")
-    needs, cuts = plan.select("pattern", "need"), []
+    state = rows.select("pid", "draw", "size").where("size > 0")
+    needs, cuts = plan.select("pid", "need"), []
     chosen = F.lit(False)
     placed = rows
     for turn in range(3):
         cut = _fill(state, needs, scratch, f"turn{turn}")
-        cuts.append(cut.select("pattern", F.col("below").alias(f"below{turn}"), F.col("need").alias(f"room{turn}")))
-        needs = cut.select("pattern", "need")
+        cuts.append(cut.select("pid", F.col("below").alias(f"below{turn}"), F.col("need").alias(f"room{turn}")))
+        needs = cut.select("pid", "need")
         if turn < 2:
-            state = state.join(F.broadcast(cut.withColumnRenamed("need", "room")), "pattern").where("draw >= below and size <= room").select("pattern", "draw", "size")
+            state = state.join(F.broadcast(cut.withColumnRenamed("need", "room")), "pid").where("draw >= below and size <= room").select("pid", "draw", "size")
     for turn, cut in enumerate(cuts):
-        placed = placed.join(F.broadcast(cut), "pattern", "left")
+        placed = placed.join(F.broadcast(cut), "pid", "left")
         fits = (F.col("draw") < F.col(f"below{turn}")) & (F.col("size") > 0)
         if turn:
             fits &= F.col("size") <= F.col(f"room{turn - 1}")
             fits &= ~chosen
         chosen = chosen | F.coalesce(fits, F.lit(False))
-    placed = placed.join(F.broadcast(plan), "pattern").withColumn("taken", F.col("size") * (F.col("full") + F.when(chosen, 1).otherwise(0)))
+    placed = placed.join(F.broadcast(plan), "pid").withColumn("taken", F.col("size") * (F.col("full") + F.when(chosen, 1).otherwise(0)))
     return placed.select("row", "size", "source_sizes", "targets", "taken")
