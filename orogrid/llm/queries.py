@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orogrid.llm import chat, decontaminate, fertility, linededup, mixing, recompress, simhash, urlmodel
+from orogrid.llm import chat, decontaminate, fertility, linededup, mixing, recompress, simhash, urlmodel, warc
 from orogrid.llm._shared import hex64
 
 
@@ -48,6 +48,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "size", F.col("source_sizes")[0].alias("source_size"), F.col("targets")[0].alias("target"), "taken")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.captures(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+    return out.select(F.col("capture").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.nullif("refers_to", F.lit("")).cast("long").alias("refers_to"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = simhash.near_duplicates(docs, words=3, bits=2)
@@ -61,7 +66,7 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fertility": op1_fertility, "op2_urlmodel": op2_urlmodel, "op3_linededup": op3_linededup, "op5_recompression": op5_recompression, "op6_chat": op6_chat, "op7_mixing": op7_mixing, "op9_simhash": op9_simhash, "op10_spaced_seeds": op10_spaced_seeds}
+    return {"op1_fertility": op1_fertility, "op2_urlmodel": op2_urlmodel, "op3_linededup": op3_linededup, "op5_recompression": op5_recompression, "op6_chat": op6_chat, "op7_mixing": op7_mixing, "op8_warc": op8_warc, "op9_simhash": op9_simhash, "op10_spaced_seeds": op10_spaced_seeds}
 
 
 def oracle_sql() -> dict[str, str]:
