@@ -15,7 +15,7 @@ from orogrid.llm._shared import Scratch
 #: Copies of a document that the mix may hold. The n-th copy costs n - 1 for each word.
 COPIES = 3
 #: Membership patterns (sets of sources that occur together) that the driver solves for, a few hundred bytes each.
-MOST_PATTERNS = 100_000
+MOST_PATTERNS = 4_000
 #: Bits of the seeded order settled in one pass over the numbers, and passes until single values are left.
 BITS, LEVELS = 12, 4
 
@@ -133,8 +133,7 @@ def mix(sized: DataFrame, sources: Column, weights: list[float] | None = None, s
     pattern. Sources are ordered by code point, null last; weights go by that order and repeat
     (default 1, 2, 3). The flow on patterns runs on the driver over at most MOST_PATTERNS numbers;
     rows are then drawn in a seeded order of `key`, whole documents only: all get the full copies,
-    some one more, so that the words of a pattern end within half of its smallest document left out
-    where that is possible. Rows of size 0 take 0. Equal rows are drawn alike up to their place in
+    some one more, and two further passes fill what is left with documents that fit. Rows of size 0 take 0. Equal rows are drawn alike up to their place in
     the order, which also depends on nothing but the row. No row: no result.
     """
     scratch = Scratch(sized.sparkSession)

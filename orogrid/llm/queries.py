@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orogrid.llm import chat, decontaminate, fertility, linededup, mixing, recompress, simhash, urlmodel, warc
+from orogrid.llm import chat, decontaminate, fertility, linededup, mixing, pii, recompress, simhash, urlmodel, warc
 from orogrid.llm._shared import hex64
 
 
@@ -26,6 +26,12 @@ def op3_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_lines", "n_dropped", "n_near", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    counts = [pii.count(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return out.select("row.doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.dedup_substrings(spark.read.parquet(f"{sf_dir}/documents.parquet"), window=13, digest=True)
 
@@ -66,7 +72,7 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fertility": op1_fertility, "op2_urlmodel": op2_urlmodel, "op3_linededup": op3_linededup, "op5_recompression": op5_recompression, "op6_chat": op6_chat, "op7_mixing": op7_mixing, "op8_warc": op8_warc, "op9_simhash": op9_simhash, "op10_spaced_seeds": op10_spaced_seeds}
+    return {"op1_fertility": op1_fertility, "op2_urlmodel": op2_urlmodel, "op3_linededup": op3_linededup, "op4_pii": op4_pii, "op5_recompression": op5_recompression, "op6_chat": op6_chat, "op7_mixing": op7_mixing, "op8_warc": op8_warc, "op9_simhash": op9_simhash, "op10_spaced_seeds": op10_spaced_seeds}
 
 
 def oracle_sql() -> dict[str, str]:
