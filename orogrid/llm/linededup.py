@@ -82,11 +82,11 @@ def _near(docs: DataFrame, unique: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, text, n_lines, n_dropped, n_near) of every row of docs; row is a struct of its columns but the text.
+    """(row, text, n_lines, n_dropped, n_near, n_left) of every row of docs; row is a struct of its columns but the text.
 
     A line (between \\n) of LEAST_WORDS words or more is dropped if an earlier line has the same words,
     or, from EDIT_WORDS words on, if an earlier line is one inserted, deleted or replaced word away
-    (n_near counts those without an equal one before). Earlier: in a document with a smaller id, or
+    (n_near counts those without an equal one before; n_left the lines of LEAST_WORDS words that stay). Earlier: in a document with a smaller id, or
     before it in the same one; null ids come last. All lines are judged on the input, so a line can
     fall to one that itself falls. White space between words does not count; kept lines stay as they
     are and are joined by \\n again. A null text stays null (no lines); an empty one has one line.
@@ -120,4 +120,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     out = out.withColumn("kept", F.filter(flagged, lambda x: x["stays"])).withColumn("n", F.coalesce(F.size(lines), F.lit(0)))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
     n_kept = F.when(F.col("text").isNull(), 0).otherwise(F.size("kept")).cast("long")
-    return out.select(F.col("columns").alias("row"), F.array_join(F.transform("kept", lambda x: x["line"]), "\n").alias("text"), n_lines.alias("n_lines"), (n_lines - n_kept).alias("n_dropped"), "n_near")
+    return out.select(F.col("columns").alias("row"), F.array_join(F.transform("kept", lambda x: x["line"]), "\n").alias("text"), n_lines.alias("n_lines"), (n_lines - n_kept).alias("n_dropped"), "n_near", F.coalesce(F.size("firsts"), F.lit(0)).cast("long").alias("n_left"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from orogrid.llm import chat, decontaminate, fertility, linededup, mixing, pii, recompress, simhash, urlmodel, warc
 from orogrid.llm._shared import hex64
 
@@ -72,7 +73,7 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fertility": op1_fertility, "op2_urlmodel": op2_urlmodel, "op3_linededup": op3_linededup, "op4_pii": op4_pii, "op5_recompression": op5_recompression, "op6_chat": op6_chat, "op7_mixing": op7_mixing, "op8_warc": op8_warc, "op9_simhash": op9_simhash, "op10_spaced_seeds": op10_spaced_seeds}
+    return {"op1_fertility": op1_fertility, "op2_urlmodel": op2_urlmodel, "op3_linededup": op3_linededup, "op4_pii": op4_pii, "op5_recompression": op5_recompression, "op6_chat": op6_chat, "op7_mixing": op7_mixing, "op8_warc": op8_warc, "op9_simhash": op9_simhash, "op10_spaced_seeds": op10_spaced_seeds, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -114,3 +114,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, bits: int = 2, id_col: str
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     of = scratch.keep(named.join(least, "root").select("fingerprint", "component_id"), "components")
     return prints.join(of, "fingerprint").select("id", "fingerprint", "component_id")
+
+
+def keep_first(docs: DataFrame, words: int = 5, bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that have the least id of their group; of rows with that id and equal fingerprints one stays.
+
+    Rows with a null id stay, as do null texts and texts without words: they are no copies of each other.
+    """
+    none = F.col(id_col).isNull() | F.col(text_col).isNull() | F.trim(text_col).isin("")
+    found = near_duplicates(docs.where(~none), words, bits, id_col, text_col)
+    goes = found.where("id <> component_id").select(F.col("id").alias("gone")).distinct()
+    stays = docs.where(~none).join(goes, F.col(id_col) == F.col("gone"), "left_anti")
+    return docs.where(none).unionByName(stays)
