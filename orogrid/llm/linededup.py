@@ -12,23 +12,29 @@ from orogrid.llm._shared import Scratch
 LEAST_WORDS = 3
 #: Lines with fewer words are compared exactly only: one edit would be too large a share of them.
 EDIT_WORDS = 8
-_BLANK = " \t\x0b\x0c\r"
 
 
-def _words(line: Column) -> Column:
-    trimmed = F.trim(line, F.lit(_BLANK))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
+def _plain(line: Column) -> Column:
+    """The words of a line with one space between; the line itself if it looks so already, without a regular expression."""
+    odd = F.contains(line, F.lit("  "))
+    for c in "\t\x0b\x0c\r":
+        odd |= F.contains(line, F.lit(c))
+    return F.trim(F.when(odd, F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line))
+
+
+def _count(plain: Column) -> Column:
+    return F.when(plain == "", 0).otherwise(F.octet_length(plain) - F.octet_length(F.replace(plain, F.lit(" "), F.lit(""))) + 1)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(place, words, n, line) of every line of at least LEAST_WORDS words; place orders all lines of the corpus."""
+    """(place, plain, n, line) of every line of at least LEAST_WORDS words; place orders all lines of the corpus."""
     rows = docs.select("doc", "row", F.posexplode(F.split("text", "\n", -1)).alias("at", "text"))
     place = F.struct(F.col("doc").isNull().alias("none"), "doc", "row", "at").alias("place")
-    rows = rows.select(place, _words(F.col("text")).alias("words")).withColumn("n", F.size("words"))
-    return rows.where(F.col("n") >= LEAST_WORDS).withColumn("line", F.xxhash64("words"))
+    rows = rows.select(place, _plain(F.col("text")).alias("plain")).withColumn("n", _count(F.col("plain")))
+    return rows.where(F.col("n") >= LEAST_WORDS).withColumn("line", F.xxhash64("plain"))
 
 
-def _halves() -> Column:
+def _halves() -> list[Column]:
     """Keys of which any two lines within one edit of each other share one at least.
 
     Of two lines with m words, or m and m + 1, the edit leaves one half whole: either the first m/2
@@ -36,9 +42,12 @@ def _halves() -> Column:
 
     def keys(m: Column, skip: int) -> list[Column]:
         half = F.floor(m / 2).cast("int")
-        return [F.xxhash64(m, F.lit(0), F.slice("words", F.lit(1), half)), F.xxhash64(m, F.lit(1), F.slice("words", half + 1 + skip, F.col("n")))]
+        return [
+            F.xxhash64(m, F.lit(0), F.call_function("substring_index", F.col("plain"), F.lit(" "), half)),
+            F.xxhash64(m, F.lit(1), F.call_function("substring_index", F.col("plain"), F.lit(" "), half + skip - F.col("n"))),
+        ]
 
-    return F.array(*keys(F.col("n"), 0), *keys(F.col("n") - 1, 1))
+    return [*keys(F.col("n"), 0), *keys(F.col("n") - 1, 1)]
 
 
 def _within_one_edit(a: Column, b: Column) -> Column:
@@ -54,11 +63,15 @@ def _near(docs: DataFrame, unique: DataFrame, scratch: Scratch) -> DataFrame:
     """(line, near): the earliest place of another line within one edit, for lines that have one."""
     keyed = unique.where(F.col("n") >= EDIT_WORDS).select("line", F.explode("halves").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("line").alias("least"), F.max("line").alias("most")).where("least < most").select("key")
-    some = scratch.keep(keyed.join(shared, "key").select("line").distinct(), "candidates")
-    texts = _lines(docs).where(F.col("n") >= EDIT_WORDS).select("line", "words", "place")
-    # the row of a line that stands where its first occurrence does
-    first = unique.select("line", "place").join(some, "line")
-    texts = scratch.keep(texts.join(first, ["line", "place"]).dropDuplicates(["line"]), "lines")
+    some = keyed.join(scratch.keep(shared, "shared"), "key").select("line").distinct()
+    # the texts of these lines, from the documents in which they stand first
+    first = unique.join(some, "line").select("line", F.col("place.doc").alias("doc"), F.col("place.row").alias("row"), F.struct(F.col("place.at").alias("at"), "line").alias("x"))
+    first = scratch.keep(first.groupBy("doc", "row").agg(F.collect_list("x").alias("xs")), "first")
+    held = docs.alias("d").join(first.alias("f"), F.col("d.doc").eqNullSafe(F.col("f.doc")) & (F.col("d.row") == F.col("f.row"))).select("d.doc", "d.row", F.split("text", "\n", -1).alias("lines"), "xs")
+    held = held.select("doc", "row", F.explode(F.transform("xs", lambda x: F.struct(x["line"].alias("line"), x["at"].alias("at"), F.get("lines", x["at"]).alias("text")))).alias("x"))
+    texts = held.select("x.line", F.split(_plain(F.col("x.text")), " ").alias("words"), F.struct(F.col("doc").isNull().alias("none"), "doc", "row", "x.at").alias("place"))
+    texts = scratch.keep(texts.dropDuplicates(["line"]), "lines")  # equal rows of docs give the same line again
+    scratch.drop("shared", "first")
     # deletion variants: with the word hashes of a line tied to their places, a variant is the xor of
     # what stands before the deleted word and of what stands after it, one place earlier
     word = texts.select("line", F.size("words").alias("n"), F.posexplode("words").alias("i", "word"))
@@ -100,22 +113,24 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     scratch = Scratch(docs.sparkSession)
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]) if len(docs.columns) > 1 else F.struct(F.lit(None).alias("none"))
     docs = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("row"), F.col(text_col).cast("string").alias("text"), others.alias("columns"))
-    unique = _lines(docs.select("doc", "row", "text")).withColumn("halves", _halves())
-    parts = [F.min(F.col("halves")[k]).alias(f"h{k}") for k in range(4)]  # equal for equal lines
     place = ("none", "doc", "row", "at")
-    unique = unique.groupBy("line", "n").agg(F.min("place").alias("place"), *parts).select("line", "n", "place", F.array("h0", "h1", "h2", "h3").alias("halves"))
-    unique = scratch.keep(unique, "unique")
+    found = _lines(docs.select("doc", "row", "text"))
+    halves = [F.when(F.col("n") >= EDIT_WORDS, h).alias(f"h{k}") for k, h in enumerate(_halves())]
+    # flat numbers are combined on the map side; the halves are equal for equal lines
+    flat = found.select("line", "n", *(F.col(f"place.{c}").alias(c) for c in place), *halves)
+    unique = flat.groupBy("line", "n").agg(F.min(F.struct(*place)).alias("place"), *(F.min(f"h{k}").alias(f"h{k}") for k in range(4)))
+    unique = scratch.keep(unique.select("line", "n", "place", F.array("h0", "h1", "h2", "h3").alias("halves")), "unique")
     near = _near(docs.select("doc", "row", "text"), unique, scratch)
     fell = F.col("near").isNotNull() & (F.col("near") < F.col("place"))
     told = unique.select("line", "place").join(near, "line", "left").select(*(F.col(f"place.{c}").alias(c) for c in place), fell.alias("fell"))
     told = told.groupBy("none", "doc", "row").agg(F.collect_list(F.when(~F.col("fell"), F.col("at"))).alias("firsts"), F.count_if("fell").alias("n_near"))
     told = scratch.keep(told, "told")
-    scratch.drop("unique", "candidates", "lines", "variants")
+    scratch.drop("unique", "lines", "variants")
     out = docs.withColumn("none", F.col("doc").isNull()).alias("d").join(
         told.alias("t"), F.col("d.doc").eqNullSafe(F.col("t.doc")) & (F.col("d.row") == F.col("t.row")), "left"
     )
     lines = F.split("text", "\n", -1)
-    flagged = F.transform(lines, lambda x, i: F.struct(x.alias("line"), ((F.size(_words(x)) < LEAST_WORDS) | F.array_contains("firsts", i)).alias("stays")))
+    flagged = F.transform(lines, lambda x, i: F.struct(x.alias("line"), ((_count(_plain(x)) < LEAST_WORDS) | F.array_contains("firsts", i)).alias("stays")))
     out = out.select("columns", F.col("d.text").alias("text"), F.coalesce("firsts", F.array().cast("array<int>")).alias("firsts"), F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"))
     out = out.withColumn("kept", F.filter(flagged, lambda x: x["stays"])).withColumn("n", F.coalesce(F.size(lines), F.lit(0)))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
