@@ -16,8 +16,8 @@ FORMS = {
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-#: A form is only looked for in texts that hold this.
-_SIGN = {"email": "@", "ip": ".", "card": "", "phone": "+"}
+#: A form is only looked for in texts that hold a match of this, which is found or ruled out faster.
+_SIGN = {"email": "[A-Za-z0-9]@|[._%+-]@", "ip": r"[0-9]\.[0-9]++\.[0-9]", "card": "[0-9][ -]?[0-9][ -]?[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}
 _WS = r"\x20\x09-\x0D"
 #: Words that hold a digit or @, from which identifiers are discovered.
 CANDIDATE = rf"(?<![^{_WS}])[^{_WS}0-9@]*+[0-9@][^{_WS}]*+"
@@ -62,20 +62,22 @@ def _matches(text: Column, pattern: str) -> Column:
         one = F.struct(begin.alias("start"), end.alias("end"), x["match"].alias("match"), x["gap"].alias("gap"))
         return F.struct(end.alias("at"), F.array_append(a["out"], one).alias("out"))
 
-    pairs = F.transform(found, lambda m, i: F.struct(m.alias("match"), F.get(gaps, i).alias("gap")))
-    return F.aggregate(pairs, start, go)["out"]
+    pairs = F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("match"), g.alias("gap")))  # one gap more than matches
+    return F.aggregate(F.filter(pairs, lambda x: x["match"].isNotNull()), start, go)["out"]
 
 
 def _form(text: Column, k: int) -> Column:
     kind, none = KINDS[k], F.array().cast("array<struct<start:int,kind:int,end:int>>")
     valid = F.filter(_matches(text, FORMS[kind]), lambda m: _valid(kind, m["match"]))
     spans = F.transform(valid, lambda m: F.struct(m["start"].alias("start"), F.lit(k).alias("kind"), m["end"].alias("end")))
-    return F.when(F.contains(text, F.lit(_SIGN[kind])), spans).otherwise(none) if _SIGN[kind] else spans
+    return F.when(F.regexp_like(text, F.lit(_SIGN[kind])), spans).otherwise(none)
 
 
 def _base(text: Column) -> Column:
     """All valid matches of the forms as (start, order of the kind, end), sorted."""
-    return F.array_sort(F.concat(*[_form(text, k) for k in range(len(KINDS))]))
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    digits = [F.when(F.regexp_like(text, F.lit("[0-9]")), F.concat(*[_form(text, k) for k in range(1, len(KINDS))])).otherwise(none)]
+    return F.array_sort(F.concat(F.when(F.contains(text, F.lit("@")), _form(text, 0)).otherwise(none), *digits))
 
 
 def _candidates(text: Column) -> Column:
@@ -92,7 +94,9 @@ def _candidates(text: Column) -> Column:
         shape = F.regexp_replace(F.regexp_replace(core, "[0-9]", "9"), r"\p{L}++", "a")
         return F.struct(begin.alias("start"), (begin + F.length(core)).alias("end"), F.lower(core).alias("core"), left.alias("left"), F.left(shape, F.lit(64)).alias("shape"))
 
-    return F.transform(found, lambda m, i: one(m, i, found))
+    # the outer array holds the matches, so that they are found once, not again for each word
+    words = F.get(F.transform(F.array(found), lambda all_: F.transform(all_, lambda m, i: one(m, i, all_))), 0)
+    return F.when(F.regexp_like(text, F.lit("[0-9@]")), words).otherwise(F.array().cast("array<struct<start:int,end:int,core:string,left:string,shape:string>>"))
 
 
 def _discover(places: DataFrame, scratch: Scratch) -> DataFrame:
