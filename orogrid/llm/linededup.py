@@ -67,7 +67,7 @@ def _near(docs: DataFrame, unique: DataFrame, scratch: Scratch) -> DataFrame:
     # the texts of these lines, from the documents in which they stand first
     first = unique.join(some, "line").select("line", F.col("place.doc").alias("doc"), F.col("place.row").alias("row"), F.struct(F.col("place.at").alias("at"), "line").alias("x"))
     first = scratch.keep(first.groupBy("doc", "row").agg(F.collect_list("x").alias("xs")), "first")
-    held = docs.alias("d").join(first.alias("f"), F.col("d.doc").eqNullSafe(F.col("f.doc")) & (F.col("d.row") == F.col("f.row"))).select("d.doc", "d.row", F.split("text", "\n", -1).alias("lines"), "xs")
+    held = docs.alias("d").join(first.hint("merge").alias("f"), F.col("d.doc").eqNullSafe(F.col("f.doc")) & (F.col("d.row") == F.col("f.row"))).select("d.doc", "d.row", F.split("text", "\n", -1).alias("lines"), "xs")
     held = held.select("doc", "row", F.explode(F.transform("xs", lambda x: F.struct(x["line"].alias("line"), x["at"].alias("at"), F.get("lines", x["at"]).alias("text")))).alias("x"))
     texts = held.select("x.line", F.split(_plain(F.col("x.text")), " ").alias("words"), F.struct(F.col("doc").isNull().alias("none"), "doc", "row", "x.at").alias("place"))
     texts = scratch.keep(texts.dropDuplicates(["line"]), "lines")  # equal rows of docs give the same line again
@@ -127,10 +127,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     told = scratch.keep(told, "told")
     scratch.drop("unique", "lines", "variants")
     out = docs.withColumn("none", F.col("doc").isNull()).alias("d").join(
-        told.alias("t"), F.col("d.doc").eqNullSafe(F.col("t.doc")) & (F.col("d.row") == F.col("t.row")), "left"
+        told.hint("merge").alias("t"), F.col("d.doc").eqNullSafe(F.col("t.doc")) & (F.col("d.row") == F.col("t.row")), "left"
     )
     lines = F.split("text", "\n", -1)
-    flagged = F.transform(lines, lambda x, i: F.struct(x.alias("line"), ((_count(_plain(x)) < LEAST_WORDS) | F.array_contains("firsts", i)).alias("stays")))
+    flagged = F.transform(lines, lambda x, i: F.struct(x.alias("line"), (F.array_contains("firsts", i) | (_count(_plain(x)) < LEAST_WORDS)).alias("stays")))
     out = out.select("columns", F.col("d.text").alias("text"), F.coalesce("firsts", F.array().cast("array<int>")).alias("firsts"), F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"))
     out = out.withColumn("kept", F.filter(flagged, lambda x: x["stays"])).withColumn("n", F.coalesce(F.size(lines), F.lit(0)))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
