@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orogrid.llm import chat, decontaminate, fertility, linededup, mixing, pii, recompress, simhash, urlmodel, warc
+from orogrid.llm import chat, decontaminate, fertility, linededup, mixing, oracles, pii, recompress, simhash, urlmodel, warc
 from orogrid.llm._shared import hex64
 
 
@@ -77,4 +77,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    d = decontaminate
+    return {
+        "op3_linededup": oracles.OP3,
+        "op5_recompression": oracles.OP5,
+        "op6_chat": oracles.OP6,
+        "op8_warc": oracles.OP8,
+        "op10_spaced_seeds": oracles.op10(d.MASKS, d.SPAN, d.AROUND, d.LEAST_SCORE, d.PENALTY),
+    }
