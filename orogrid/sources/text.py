@@ -95,7 +95,7 @@ def strip_document(head: DataFrame, alignment: DataFrame, coverage: DataFrame, s
 
     head: (strip_id, created, proj4, x, y arrays, mask, low, high); alignment: (strip_id, ord, scene, rmse,
     dz .. dy_err); coverage: (strip_id, ord, metric, value); scenes: (strip_id, ord, scene, meta_text)."""
-    number = lambda c: F.when(F.col(c).isNull(), "nan").otherwise(F.format_number(F.col(c), "0.0000"))
+    number = lambda c: F.when(F.col(c).isNull(), "nan").otherwise(F.format_string("%.4f", F.col(c)))
     line = F.concat_ws(" ", "scene", *[number(c) for c in _ALIGNMENT[1:]])
 
     def ordered(df: DataFrame, text: Column, name: str) -> DataFrame:
