@@ -196,7 +196,7 @@ def assess(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang
     measured = measured.withColumn("evenness", F.col("token_entropy") / F.log2(F.least(F.greatest("n_tokens", F.lit(2)), F.lit(1000))))
     measured = Scratch(docs.sparkSession).keep(measured, "measured")
     fits = F.lit(True)
-    slack = F.greatest(F.lit(1.0), F.sqrt(F.lit(FULL) / F.col("n_tokens")))
+    slack = F.greatest(F.lit(1.0), F.sqrt(F.lit(FULL) / F.greatest("n_tokens", F.lit(1))))
     for c, (below, above, least) in AROUND.items():
         off = (F.col(c) - F.col(f"{c}_mid")) / F.greatest(F.col(f"{c}_dev") * 1.4826, F.lit(least)) / slack
         fits &= (off >= -below if below else F.lit(True)) & (off <= above if above else F.lit(True))
