@@ -53,11 +53,12 @@ def _pull(frame: DataFrame, df: DataFrame, value: str, sr: Column, sc: Column, m
         taps = frame.withColumns({"_r": lim(F.floor(F.col("_sr") + 0.5), "r0", "r1"), "_c": lim(F.floor(F.col("_sc") + 0.5), "c0", "c1")})
         got = taps.join(src, ["rid", "_r", "_c"], "left").withColumn(out, F.col("_v"))
     else:
-        tr, tc = F.col("_sr") - F.floor("_sr"), F.col("_sc") - F.floor("_sc")
-        both = [F.struct((F.floor("_sr") + i).alias("i"), (F.floor("_sc") + j).alias("j"), (wr * wc).alias("w")) for i, wr in weights(method, tr) for j, wc in weights(method, tc)]
-        taps = frame.withColumn("_t", F.explode(F.array(*both))).withColumns({"_r": lim(F.col("_t.i"), "r0", "r1"), "_c": lim(F.col("_t.j"), "c0", "c1")}).where(F.col("_t.w") != 0)
-        keep = [c for c in frame.columns if c != "rid"]
-        got = taps.join(src, ["rid", "_r", "_c"], "left").groupBy("rid", *keep).agg(F.when(F.count_if(F.col("_v").isNull()) == 0, F.sum(F.col("_v") * F.col("_t.w"))).alias(out))
+        frame = frame.withColumns({"_fr": F.col("_sr") - F.floor("_sr"), "_fc": F.col("_sc") - F.floor("_sc")})
+        along = {t: F.array(*[F.struct(F.lit(k).alias("k"), w.alias("w")) for k, w in weights(method, F.col(t))]) for t in ("_fr", "_fc")}
+        taps = frame.withColumn("_i", F.explode(along["_fr"])).withColumn("_j", F.explode(along["_fc"])).withColumn("_w", F.col("_i.w") * F.col("_j.w"))
+        taps = taps.withColumns({"_r": lim(F.floor("_sr") + F.col("_i.k"), "r0", "r1"), "_c": lim(F.floor("_sc") + F.col("_j.k"), "c0", "c1")}).where("_w <> 0")
+        keep = [c for c in frame.columns if c not in ("rid", "_fr", "_fc")]
+        got = taps.join(src, ["rid", "_r", "_c"], "left").groupBy("rid", *keep).agg(F.when(F.count_if(F.col("_v").isNull()) == 0, F.sum(F.col("_v") * F.col("_w"))).alias(out))
     if outside:
         ok = F.col("_sr").between(F.col("r0"), F.col("r1")) & F.col("_sc").between(F.col("c0"), F.col("c1"))
         got = got.withColumn(out, F.when(ok, F.col(out)))
