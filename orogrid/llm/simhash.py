@@ -20,18 +20,24 @@ BLOCKS = 4
 BUCKET = 48
 
 
-def _fingerprints(t: W.Texts, words: int) -> np.ndarray:
+def _shingles(t: W.Texts, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all shingles in order, how many each text has, and the text of each."""
     joined, starts, ends = W.lowered_words(t)
     n = t.counts
     shingles = np.where(n == 0, 0, np.maximum(n - words + 1, 1))
     doc = np.repeat(np.arange(len(n)), shingles)
     if not len(doc):
-        return np.zeros(len(n), np.uint64)
+        return np.zeros(0, np.uint64), shingles, doc
     begin = np.cumsum(shingles) - shingles
     first = np.arange(len(doc)) - begin[doc] + t.first[:-1][doc]
     last = np.minimum(first + words, t.first[1:][doc]) - 1
     digest = xxhash.xxh64_intdigest
     h = np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts[first].tolist(), ends[last].tolist(), strict=True)), np.uint64, len(doc))
+    return h, shingles, doc
+
+
+def _majority(h: np.ndarray, shingles: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """For each text, the bits that are set in over half of its hashes."""
     some = np.flatnonzero(shingles)
     ones = np.zeros((len(some), 64), np.int64)
     step = 1 << 16
@@ -42,11 +48,22 @@ def _fingerprints(t: W.Texts, words: int) -> np.ndarray:
         cut = np.flatnonzero(np.diff(rows, prepend=-1))
         ones[rows[cut]] += np.add.reduceat(bits, cut, axis=0, dtype=np.int64)
     set_bits = (2 * ones > shingles[some][:, None]).astype(np.uint8)
-    out = np.zeros(len(n), np.uint64)
-    out[some] = np.packbits(set_bits, axis=1, bitorder="little").view("<u8").reshape(-1)
+    out = np.zeros(len(shingles), np.uint64)
+    if len(some):
+        out[some] = np.packbits(set_bits, axis=1, bitorder="little").view("<u8").reshape(-1)
     return out
 
 
+def _fingerprints(t: W.Texts, words: int) -> np.ndarray:
+    return _majority(*_shingles(t, words))
+
+
+def _wide(t: W.Texts, words: int) -> list[np.ndarray]:
+    h, shingles, doc = _shingles(t, words)
+    with np.errstate(over="ignore"):
+        return [_majority(h if k == 0 else W.mix(h + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))), shingles, doc) for k in range(WIDE)]
+
+
 def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fingerprint long) of every row: word shingles of the text with A-Z lower-cased, XXH64 with seed 42,
     a bit for each that is set in over half of the shingles. Fewer words than `words`: the whole
@@ -116,13 +133,115 @@ def near_duplicates(docs: DataFrame, words: int = 5, bits: int = 2, id_col: str
     return prints.join(of, "fingerprint").select("id", "fingerprint", "component_id")
 
 
-def keep_first(docs: DataFrame, words: int = 5, bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that have the least id of their group; of rows with that id and equal fingerprints one stays.
+#: Similar texts: fingerprints of WIDE words, in BANDS blocks of BAND bits; candidates share two blocks.
+WIDE, BANDS, BAND = 4, 21, 12
+#: Differing bits of the wide fingerprint above which a candidate pair is not compared word by word.
+FAR = 72
+
+
+def wide_fingerprints(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, f0, f1, ...): WIDE independent 64-bit fingerprints of every row with a word, all from one hash of each shingle."""
+    kind = docs.schema[id_col].dataType
+
+    def run(batches):
+        for batch in batches:
+            for at, to, t in W.texts(batch.column(1)):
+                some = np.flatnonzero(t.counts) + at
+                prints = [f[some - at].view(np.int64) for f in _wide(t, words)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some)), *map(pa.array, prints)], ["id", *(f"f{k}" for k in range(WIDE))])
+
+    schema = f"id {kind.simpleString()}, " + ", ".join(f"f{k} long" for k in range(WIDE))
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string")).mapInArrow(run, schema)
+
+
+def _shingle_hashes(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, shingles): the distinct shingle hashes of each row, sorted."""
+    kind = docs.schema[id_col].dataType
+
+    def run(batches):
+        for batch in batches:
+            for at, to, t in W.texts(batch.column(1)):
+                h, shingles, _ = _shingles(t, words)
+                cuts = np.concatenate([[0], np.cumsum(shingles)])
+                lists = [np.unique(h[a:b]).view(np.int64) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(lists, pa.list_(pa.int64()))], ["id", "shingles"])
+
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string")).mapInArrow(run, f"id {kind.simpleString()}, shingles array<long>")
+
+
+def _band_keys() -> Column:
+    """One number for each pair of blocks, with the pair's own number in its upper bits."""
+
+    def block(b: int) -> Column:
+        low, word, shift = b * BAND, b * BAND // 64, b * BAND % 64
+        part = F.shiftrightunsigned(f"f{word}", shift)
+        if shift + BAND > 64 and (low + BAND - 1) // 64 > word:
+            part = part.bitwiseOR(F.shiftleft(F.col(f"f{word + 1}"), 64 - shift))
+        return part.bitwiseAND((1 << BAND) - 1)
+
+    pairs = combinations(range(BANDS), 2)
+    return F.array(*[F.lit(n << (2 * BAND)).cast("long").bitwiseOR(F.shiftleft(block(a), BAND)).bitwiseOR(block(b)) for n, (a, b) in enumerate(pairs)])
+
+
+def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, first) of documents that fall to one with a smaller id, over links of texts whose sets of word shingles have a
+    Jaccard similarity of `similarity` at least.
+
+    Candidates are found by blocks of wide fingerprints: two texts at similarity 0.8 share two of the
+    blocks with a chance of about 0.8, at 0.9 of 0.99; fingerprints that differ in no more bits than
+    blocks less two always do. Every link is verified on the shingles. Large buckets (many variants of
+    one text) are first held against their least id only; what links falls, and the rest are bucketed
+    again, until all pairs of every bucket have been compared. Texts without words and rows without
+    an id take no part; rows with one id are judged together.
+    """
+    scratch = Scratch(docs.sparkSession)
+    docs = docs.where(F.col(id_col).isNotNull())
+    names = [f"f{k}" for k in range(WIDE)]
+    prints = scratch.keep(wide_fingerprints(docs, words, id_col, text_col), "wide")
+    # equal fingerprints first: groups of exact copies end here
+    least = scratch.keep(prints.groupBy(*names).agg(F.min("id").alias("first")), "wide-distinct")
+    copies = prints.join(least, names).where("id <> first").select("id", "first").distinct()
+    fallen = scratch.keep(copies, "fallen")
+    left = scratch.keep(least.select(F.col("first").alias("id"), *names), "left-0")
+    turn = 0
+    while True:
+        keyed = left.select("id", F.explode(_band_keys()).alias("key"))
+        sizes = scratch.keep(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1"), f"sizes-{turn}")
+        placed = scratch.keep(keyed.join(sizes, "key"), f"placed-{turn}")
+        few = placed.where(F.col("n") <= BUCKET)
+        pairs = few.select("key", F.col("id").alias("a")).join(few.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b")
+        pairs = pairs.union(placed.where((F.col("n") > BUCKET) & (F.col("id") > F.col("lead"))).select(F.col("lead").alias("a"), F.col("id").alias("b"))).distinct()
+        links_, more = _verified(pairs, left, docs, words, similarity, id_col, text_col, scratch, turn), placed.where(F.col("n") > BUCKET).limit(1).count() > 0
+        roots = scratch.keep(components(links_, scratch).where("node <> root").select(F.col("node").alias("id"), F.col("root").alias("first")), f"roots-{turn}")
+        if more and not roots.limit(1).count():  # large buckets of texts that are not alike: all their pairs
+            many = placed.where(F.col("n") > BUCKET)
+            pairs = many.select("key", F.col("id").alias("a")).join(many.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b").distinct()
+            roots = scratch.keep(components(_verified(pairs, left, docs, words, similarity, id_col, text_col, scratch, turn + 1), scratch).where("node <> root").select(F.col("node").alias("id"), F.col("root").alias("first")), f"last-{turn}")
+            more = False
+        scratch.drop(f"sizes-{turn}", f"placed-{turn}")
+        fallen = fallen.union(roots)
+        if not more:
+            return fallen
+        turn += 1
+        left = scratch.keep(left.join(roots.select("id"), "id", "left_anti"), f"left-{turn}")
+
+
+def _verified(pairs: DataFrame, prints: DataFrame, docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str, scratch: Scratch, turn: int) -> DataFrame:
+    side = lambda s: prints.select(F.col("id").alias(s), *[F.col(f"f{k}").alias(f"{s}{k}") for k in range(WIDE)])
+    far = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(WIDE)), F.lit(0))
+    near = scratch.keep(pairs.join(side("a"), "a").join(side("b"), "b").where(far <= FAR).select("a", "b"), f"near-{turn}")
+    wanted = near.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()
+    sets = _shingle_hashes(docs.join(scratch.keep(wanted, f"wanted-{turn}"), F.col(id_col) == F.col("wanted"), "left_semi").select(id_col, text_col), words, id_col, text_col)
+    sets = scratch.keep(sets, f"sets-{turn}")
+    both = near.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    return both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b")
+
+
+def keep_first(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that fall to no similar document with a smaller id (see `similar_documents`).
 
     Rows with a null id stay, as do null texts and texts without words: they are no copies of each other.
     """
-    none = F.col(id_col).isNull() | F.col(text_col).isNull() | F.trim(text_col).isin("")
-    found = near_duplicates(docs.where(~none), words, bits, id_col, text_col)
-    goes = found.where("id <> component_id").select(F.col("id").alias("gone")).distinct()
-    stays = docs.where(~none).join(goes, F.col(id_col) == F.col("gone"), "left_anti")
-    return docs.where(none).unionByName(stays)
+    goes = similar_documents(docs, words, similarity, id_col, text_col).select(F.col("id").alias("gone")).distinct()
+    return docs.join(goes, F.col(id_col) == F.col("gone"), "left_anti")
