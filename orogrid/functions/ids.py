@@ -19,8 +19,8 @@ FORMATS = {
     "strip_dem_folder": (rf"({PAIR})_({RESOLUTION})(?:_(lsf))?_({VERSION_KEY})", ("pairname", "res", "lsf", "verkey")),
     "scene_overlap": (rf"({PAIR})_{_SIDE}_{_SIDE}", ("pairname", "tile1", "ordernum1", "partnum1", "tile2", "ordernum2", "partnum2")),
     "scene_dem": (rf"({PAIR}_(?:{_TILE}-)?{_ORDER}_{_PART}_(?:{_TILE}-)?{_ORDER}_{_PART})_(\d)(-\d{{2}})?", ("overlap", "res", "subtile")),
-    "strip_segment": (rf"(SETSM)_(s2s\d{{3}})_({PAIR})_({RESOLUTION})(?:_(lsf))?_seg(\d+)", ("algorithm", "s2s_ver", "pairname", "res", "lsf", "segnum")),
-    "strip_segment_file": (rf"((?:SETSM)_s2s\d{{3}}_{PAIR}_{RESOLUTION}(?:_lsf)?_seg\d+)_(.+)", ("segment", "suffix")),
+    "strip_segment": (rf"([A-Z]+)_(s2s\d{{3}})_({PAIR})_({RESOLUTION})(?:_(lsf))?_seg(\d+)", ("algorithm", "s2s_ver", "pairname", "res", "lsf", "segnum")),
+    "strip_segment_file": (rf"([A-Z]+_s2s\d{{3}}_{PAIR}_{RESOLUTION}(?:_lsf)?_seg\d+)_(.+)", ("segment", "suffix")),
 }
 #: Resolutions in metres that names may have.
 STANDARD_METERS = (0.5, 1.0, 2.0, 8.0)

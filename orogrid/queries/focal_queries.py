@@ -130,6 +130,12 @@ def _with_recursive(name: str, sql: str) -> None:
 
 
 _with_recursive("F9_area_open", _components("value > 115", _EIGHT) + "SELECT r, c FROM sized WHERE size >= 3")
+_with_recursive(
+    "F10_fill_holes",
+    "WITH RECURSIVE p AS (SELECT CAST(event_id // 100 AS INTEGER) AS r, CAST(event_id % 100 AS INTEGER) AS c FROM events WHERE NOT value < 115), "
+    "w(r, c) AS (SELECT r, c FROM p WHERE r IN (0, 99) OR c IN (0, 99) UNION SELECT p.r, p.c FROM w JOIN p ON abs(p.r - w.r) + abs(p.c - w.c) = 1) "
+    "SELECT f, count(*) AS n FROM (SELECT w.r IS NULL AS f FROM events e LEFT JOIN w ON w.r = e.event_id // 100 AND w.c = e.event_id % 100) GROUP BY f",
+)
 _with_recursive("A10_component_sizes", _components("value > 70", _EIGHT) + "SELECT size, count(DISTINCT label) AS n FROM sized GROUP BY size")
 _with_recursive("F17_reconstruct", "WITH RECURSIVE p AS (SELECT CAST(event_id // 100 AS INTEGER) AS r, CAST(event_id % 100 AS INTEGER) AS c, value AS v FROM events WHERE value > 70), w(r, c) AS (SELECT p.r, p.c FROM p JOIN events e ON e.value > 150 AND abs(e.event_id // 100 - p.r) <= 1 AND abs(e.event_id % 100 - p.c) <= 1 UNION SELECT p.r, p.c FROM w JOIN p ON abs(p.r - w.r) <= 1 AND abs(p.c - w.c) <= 1) SELECT r, c FROM w")
 
@@ -152,9 +158,15 @@ def _(spark, d):
     return focal.entropy(df, "bin", 5).select(*KEY, F.round("entropy", 6).alias("entropy"))
 
 
-@query("F12_hillshade_interior")
+@query(
+    "F12_hillshade_interior",
+    ", h AS (SELECT r, c, v AS m, lag(v) OVER w AS l, lead(v) OVER w AS x FROM g WINDOW w AS (PARTITION BY r ORDER BY c)), "
+    "k AS (SELECT r, c, lag(l) OVER w AS lu, l, lead(l) OVER w AS ld, lag(m) OVER w AS mu, lead(m) OVER w AS md, lag(x) OVER w AS ru, x, lead(x) OVER w AS rd FROM h WINDOW w AS (PARTITION BY c ORDER BY r)), "
+    "s AS (SELECT r, c, (ru + 2 * x + rd - lu - 2 * l - ld) * (3.0::DOUBLE / 800) AS gx, (ld + 2 * md + rd - lu - 2 * mu - ru) * (3.0::DOUBLE / 800) AS gy FROM k) "
+    "SELECT r, c, CAST(greatest(floor(1.5 + 254.0 * greatest((sin(radians(45)) + cos(radians(45)) * (gy * cos(radians(315)) - gx * sin(radians(315)))) / sqrt(1 + gx * gx + gy * gy), 0)), 1) AS INTEGER) AS shade FROM s WHERE r BETWEEN 1 AND 98 AND c BETWEEN 1 AND 98",
+)
 def _(spark, d):
-    return focal.hillshade(heights(spark, d), "v", z=3.0, cell=100.0).select(*KEY, "shade")
+    return focal.hillshade(heights(spark, d), "v", z=3.0, cell=100.0).where("r between 1 and 98 and c between 1 and 98").select(*KEY, "shade")
 
 
 @query(

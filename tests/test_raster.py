@@ -250,7 +250,7 @@ def test_empty_tables(spark):
 def test_identifiers(spark):
     name = "WV01_20200131_0102030405060708_0A0B0C0D0E0F0001"
     row = spark.range(1).select(
-        ids.parse(F.lit(f"SETSM_s2s041_{name}_2m_lsf_seg3"), "strip_segment").alias("seg"),
+        ids.parse(F.lit(f"ALGO_s2s041_{name}_2m_lsf_seg3"), "strip_segment").alias("seg"),
         ids.parse(F.lit(f"{name}_R1C1-050090123456_01_P001_050090123457_01_P002_2-05"), "scene_dem").alias("scene"),
         ids.parse(F.lit("x" + name), "pairname").alias("bad"),
         ids.version_key(F.lit("4.3.11")).alias("key"),
