@@ -51,7 +51,7 @@ def clip_cast(v: Column, kind: str, rounded: bool = True) -> Column:
         return v.cast(_SPARK[kind])
     low, high = RANGES[kind]
     whole = F.round(v.cast("double"), 0) if rounded else v.cast("double")
-    return F.greatest(F.least(whole, F.lit(float(high))), F.lit(float(low))).cast(_SPARK[kind])
+    return F.when(v.isNotNull(), F.greatest(F.least(whole, F.lit(float(high))), F.lit(float(low))).cast(_SPARK[kind]))
 
 
 def stored_type(kind: str) -> str:
@@ -116,7 +116,7 @@ def bitstring(mask: Column) -> Column:
 
 def ramp(w: Column, low: float = 0.25, high: float = 0.55) -> Column:
     """Feather weight: 0 up to low, 1 from high on, straight between."""
-    return F.least(F.greatest((w - low) / (high - low), F.lit(0.0)), F.lit(1.0))
+    return F.when(w.isNotNull(), F.least(F.greatest((w - low) / (high - low), F.lit(0.0)), F.lit(1.0)))
 
 
 def blend(first: Column, second: Column, weight: Column) -> Column:

@@ -186,7 +186,8 @@ def range_along_columns(df: DataFrame, value: str, k: int, out: str = "range") -
 
 
 def entropy(df: DataFrame, value: str, k: int = 9, out: str = "entropy", bins: int = 256) -> DataFrame:
-    """Shannon entropy in bits of the whole numbers 0 .. bins - 1 in the k x k box around each pixel, with mirrored borders."""
+    """Shannon entropy in bits of the whole numbers 0 .. bins - 1 in the k x k box around each pixel, with mirrored borders.
+    Null counts as 0."""
     if k % 2 == 0:
         raise ValueError("k must be odd")
     m = k // 2
@@ -231,5 +232,5 @@ def hillshade(df: DataFrame, value: str, z: float = 1.0, cell: float = 1.0, azim
 
     alt, az = math.radians(altitude), math.radians(azimuth)
     light = (math.sin(alt) + math.cos(alt) * (gy * math.cos(az) - gx * math.sin(az))) / F.sqrt(1 + gx * gx + gy * gy)
-    shade = F.when(v.isNotNull(), F.greatest(F.floor(1.5 + 254.0 * F.greatest(light, F.lit(0.0))), F.lit(1)).cast("int"))
+    shade = F.when(v.isNotNull() & light.isNotNull(), F.greatest(F.floor(1.5 + 254.0 * F.greatest(light, F.lit(0.0))), F.lit(1)).cast("int"))
     return df.withColumn(out, shade).drop("_l", "_m", "_r", *[f"_{n}" for n in near])

@@ -68,7 +68,7 @@ def feather_weights(classes: DataFrame, coarse: float = 0.1) -> DataFrame:
     low = classes.groupBy("rid").agg(F.min("r").alias("_r0"), F.min("c").alias("_c0"))
     full = full.join(low, "rid").select("rid", (F.col("r") + F.col("_r0")).alias("r"), (F.col("c") + F.col("_c0")).alias("c"), "_w")
     got = classes.join(full, list(grid.KEY), "left")
-    w = F.when(F.col("a") == 1, 1.0).when(F.col("a") == 2, 2.0).otherwise(F.col("_w")) - 1
+    w = F.when(F.col("a") == 1, 1.0).when(F.col("a") == 2, 2.0).otherwise(F.coalesce("_w", F.lit(1.0))) - 1
     return got.select(*grid.KEY, local.ramp(F.least(F.greatest(w, F.lit(0.0)), F.lit(1.0))).alias("w"))
 
 

@@ -160,9 +160,9 @@ def _(spark, d):
     return ortho(spark, d).groupBy("r").agg(F.bit_or(F.col("o") % 8).alias("mask"))
 
 
-@query("L14_ramp", "SELECT r, c, round(least(greatest((o / 2048.0::DOUBLE - 0.25) / (0.55 - 0.25), 0), 1), 6) AS w FROM o")
+@query("L14_ramp", "SELECT r, c, round(least(greatest((o / 2048.0::DOUBLE - 0.25) / (0.55 - 0.25), 0), 1), 9) AS w FROM o")
 def _(spark, d):
-    return ortho(spark, d).select(*KEY, F.round(local.ramp(F.col("o") / 2048.0), 6).alias("w"))
+    return ortho(spark, d).select(*KEY, F.round(local.ramp(F.col("o") / 2048.0), 9).alias("w"))
 
 
 @query("L15_blend", "SELECT r, c, round(CASE WHEN z IS NOT NULL AND o IS NOT NULL THEN z * 0.3 + o * 0.7 ELSE coalesce(z, o) END, 6) AS v FROM g FULL JOIN o USING (rid, r, c)")

@@ -267,6 +267,12 @@ def test_wkt_round_trip(spark):
     assert row.a == row.b
 
 
+def test_null_stays_null(spark):
+    row = spark.range(1).select(F.lit(None).cast("double").alias("v"))
+    got = row.select(local.clip_cast(F.col("v"), "uint8"), local.ramp(F.col("v")), local.quantize(F.col("v")), local.plausible_height(F.col("v")), local.scaled(F.col("v"), 2.0, 1.0, 0.0)).first()
+    assert list(got) == [None] * 5
+
+
 def test_nodata_policies(spark):
     row = spark.createDataFrame([(0.0, False), (5.0, True)], "v double, m boolean")
     v, declared = local.nodata_policy(F.col("v"), F.col("m"), "convert", 0.0, -9.0)
