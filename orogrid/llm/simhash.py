@@ -230,8 +230,8 @@ def _verified(pairs: DataFrame, prints: DataFrame, docs: DataFrame, words: int,
     side = lambda s: prints.select(F.col("id").alias(s), *[F.col(f"f{k}").alias(f"{s}{k}") for k in range(WIDE)])
     far = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(WIDE)), F.lit(0))
     near = scratch.keep(pairs.join(side("a"), "a").join(side("b"), "b").where(far <= FAR).select("a", "b"), f"near-{turn}")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()
-    sets = _shingle_hashes(docs.join(scratch.keep(wanted, f"wanted-{turn}"), F.col(id_col) == F.col("wanted"), "left_semi").select(id_col, text_col), words, id_col, text_col)
+    wanted = near.select(F.explode(F.array("a", "b")).alias("__wanted")).distinct()
+    sets = _shingle_hashes(docs.join(scratch.keep(wanted, f"wanted-{turn}"), F.col(id_col) == F.col("__wanted"), "left_semi").select(id_col, text_col), words, id_col, text_col)
     sets = scratch.keep(sets, f"sets-{turn}")
     both = near.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
@@ -243,5 +243,5 @@ def keep_first(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col:
 
     Rows with a null id stay, as do null texts and texts without words: they are no copies of each other.
     """
-    goes = similar_documents(docs, words, similarity, id_col, text_col).select(F.col("id").alias("gone")).distinct()
-    return docs.join(goes, F.col(id_col) == F.col("gone"), "left_anti")
+    goes = similar_documents(docs, words, similarity, id_col, text_col).select(F.col("id").alias("__gone")).distinct()
+    return docs.join(goes, F.col(id_col) == F.col("__gone"), "left_anti")
