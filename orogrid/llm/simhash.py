@@ -169,18 +169,22 @@ def _shingle_hashes(docs: DataFrame, words: int, id_col: str, text_col: str) ->
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string")).mapInArrow(run, f"id {kind.simpleString()}, shingles array<long>")
 
 
-def _band_keys() -> Column:
-    """One number for each pair of blocks, with the pair's own number in its upper bits."""
+def _band_keys(prints: DataFrame) -> DataFrame:
+    """(id, key) for each pair of blocks: both blocks, with the pair's own number in the upper bits.
+
+    The pairs are one constant that Spark loops over, so plans and compiled code stay small."""
 
     def block(b: int) -> Column:
         low, word, shift = b * BAND, b * BAND // 64, b * BAND % 64
         part = F.shiftrightunsigned(f"f{word}", shift)
-        if shift + BAND > 64 and (low + BAND - 1) // 64 > word:
+        if (low + BAND - 1) // 64 > word:
             part = part.bitwiseOR(F.shiftleft(F.col(f"f{word + 1}"), 64 - shift))
         return part.bitwiseAND((1 << BAND) - 1)
 
-    pairs = combinations(range(BANDS), 2)
-    return F.array(*[F.lit(n << (2 * BAND)).cast("long").bitwiseOR(F.shiftleft(block(a), BAND)).bitwiseOR(block(b)) for n, (a, b) in enumerate(pairs)])
+    pairs = F.array(*[F.lit(a * BANDS + b) for a, b in combinations(range(BANDS), 2)])
+    rows = prints.select("id", F.array(*[block(b) for b in range(BANDS)]).alias("blocks")).select("id", "blocks", F.explode(pairs).alias("p"))
+    first, second = F.col("blocks")[F.floor(F.col("p") / BANDS).cast("int")], F.col("blocks")[F.col("p") % BANDS]
+    return rows.select("id", F.shiftleft(F.col("p").cast("long"), 2 * BAND).bitwiseOR(F.shiftleft(first, BAND)).bitwiseOR(second).alias("key"))
 
 
 def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,7 +209,7 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
     left = scratch.keep(least.select(F.col("first").alias("id"), *names), "left-0")
     turn = 0
     while True:
-        keyed = left.select("id", F.explode(_band_keys()).alias("key"))
+        keyed = _band_keys(left)
         sizes = scratch.keep(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1"), f"sizes-{turn}")
         placed = scratch.keep(keyed.join(sizes, "key"), f"placed-{turn}")
         few = placed.where(F.col("n") <= BUCKET)
