@@ -137,6 +137,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, bits: int = 2, id_col: str
 WIDE, BANDS, BAND = 4, 21, 12
 #: Differing bits of the wide fingerprint above which a candidate pair is not compared word by word.
 FAR = 72
+#: Shingles of one chunk of a large bucket (a task holds two), and texts of it that are compared in one matrix product.
+CHUNK, BLOCK = 400_000, 128
 
 
 def wide_fingerprints(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -194,9 +196,9 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
     Candidates are found by blocks of wide fingerprints: two texts at similarity 0.8 share two of the
     blocks with a chance of about 0.8, at 0.9 of 0.99; fingerprints that differ in no more bits than
     blocks less two always do. Every link is verified on the shingles. Large buckets (many variants of
-    one text) are first held against their least id only; what links falls, and the rest are bucketed
-    again, until all pairs of every bucket have been compared. Texts without words and rows without
-    an id take no part; rows with one id are judged together.
+    one text) are first held against their least id only; members of those that this does not make
+    one group are all compared with each other by `_dense_links`. A text that fell is compared like any
+    other. Texts without words and rows without an id take no part; rows with one id are judged together.
     """
     scratch = Scratch(docs.sparkSession)
     docs = docs.where(F.col(id_col).isNotNull())
@@ -204,42 +206,117 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
     prints = scratch.keep(wide_fingerprints(docs, words, id_col, text_col), "wide")
     # equal fingerprints first: groups of exact copies end here
     least = scratch.keep(prints.groupBy(*names).agg(F.min("id").alias("first")), "wide-distinct")
-    copies = prints.join(least, names).where("id <> first").select("id", "first").distinct()
-    fallen = scratch.keep(copies, "fallen")
-    left = scratch.keep(least.select(F.col("first").alias("id"), *names), "left-0")
-    turn = 0
-    while True:
-        keyed = _band_keys(left)
-        sizes = scratch.keep(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1"), f"sizes-{turn}")
-        placed = scratch.keep(keyed.join(sizes, "key"), f"placed-{turn}")
-        few = placed.where(F.col("n") <= BUCKET)
-        pairs = few.select("key", F.col("id").alias("a")).join(few.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b")
-        pairs = pairs.union(placed.where((F.col("n") > BUCKET) & (F.col("id") > F.col("lead"))).select(F.col("lead").alias("a"), F.col("id").alias("b"))).distinct()
-        links_, more = _verified(pairs, left, docs, words, similarity, id_col, text_col, scratch, turn), placed.where(F.col("n") > BUCKET).limit(1).count() > 0
-        roots = scratch.keep(components(links_, scratch).where("node <> root").select(F.col("node").alias("id"), F.col("root").alias("first")), f"roots-{turn}")
-        if more and not roots.limit(1).count():  # large buckets of texts that are not alike: all their pairs
-            many = placed.where(F.col("n") > BUCKET)
-            pairs = many.select("key", F.col("id").alias("a")).join(many.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b").distinct()
-            roots = scratch.keep(components(_verified(pairs, left, docs, words, similarity, id_col, text_col, scratch, turn + 1), scratch).where("node <> root").select(F.col("node").alias("id"), F.col("root").alias("first")), f"last-{turn}")
-            more = False
-        scratch.drop(f"sizes-{turn}", f"placed-{turn}")
-        fallen = fallen.union(roots)
-        if not more:
-            return fallen
-        turn += 1
-        left = scratch.keep(left.join(roots.select("id"), "id", "left_anti"), f"left-{turn}")
-
-
-def _verified(pairs: DataFrame, prints: DataFrame, docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str, scratch: Scratch, turn: int) -> DataFrame:
+    copies = scratch.keep(prints.join(least, names).where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "copies")
+    left = scratch.keep(least.select(F.col("first").alias("id"), *names), "left")
+    keyed = _band_keys(left)
+    sizes = scratch.keep(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1"), "sizes")
+    placed = scratch.keep(keyed.join(sizes, "key"), "placed")
+    few, many = placed.where(F.col("n") <= BUCKET), placed.where(F.col("n") > BUCKET)
+    pairs = few.select("key", F.col("id").alias("a")).join(few.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b")
+    pairs = pairs.union(many.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b"))).distinct()
+    found = copies.union(scratch.keep(_verified(pairs, left, docs, words, similarity, id_col, text_col, scratch), "links"))
+    roots = scratch.keep(components(found, scratch), "roots")
+    named = many.select("key", "id").join(roots, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    apart = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
+    open_ = scratch.keep(named.join(apart, "key").select("id", "root").distinct(), "open")
+    scratch.drop("sizes", "placed")
+    if open_.limit(1).count():
+        more = scratch.keep(_dense_links(open_, docs, words, similarity, id_col, text_col, scratch), "more")
+        roots = scratch.keep(components(found.union(more), scratch), "all-roots")
+    return roots.where("node <> root").select(F.col("node").alias("id"), F.col("root").alias("first"))
+
+
+def _least_shared(n: Column, similarity: float) -> Column:
+    """Shingles of a set of n that any set at `similarity` or more to it has as well."""
+    return F.ceil(n * F.lit(similarity) - F.lit(1e-6))
+
+
+def _dense_links(some: DataFrame, docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str, scratch: Scratch) -> DataFrame:
+    """Links (a, b) that connect all texts of some(id, root) which verified pairs of them connect beyond their roots.
+
+    Prefix filter: with the shingles of all sets in one order, rare ones first, two similar sets share
+    one of the first n less `_least_shared` plus one of either. Buckets of such shingles up to BUCKET
+    members are expanded into pairs. Larger ones are dealt into chunks of about CHUNK shingles, and
+    every pair of chunks is compared whole by one task, which returns no more links than it has texts.
+    """
+    sets = _shingle_hashes(docs.join(some.select(F.col("id").alias("__some")), F.col(id_col) == F.col("__some"), "left_semi").select(id_col, text_col), words, id_col, text_col)
+    sets = scratch.keep(sets.where(F.size("shingles") > 0).distinct().join(some, "id").select(F.monotonically_increasing_id().alias("at"), "id", "root", F.size("shingles").alias("n"), "shingles"), "dense-sets")
+    flat = sets.select("at", "id", "root", "n", F.explode("shingles").alias("key"))
+    times = scratch.keep(flat.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "dense-times")
+    # shingles of one set alone come first in the order; they need no rows, only their number
+    shared = flat.join(times, "key").groupBy("at", "id", "root", "n").agg(F.sort_array(F.collect_list(F.struct("m", "key"))).alias("keys"))
+    length = F.greatest(F.lit(0), F.col("n") - _least_shared(F.col("n"), similarity) + 1 - (F.col("n") - F.size("keys"))).cast("int")
+    rows = shared.select("at", "id", "root", "n", F.explode(F.slice("keys", F.lit(1), length)).alias("k")).select("at", "id", "root", "n", "k.key")
+    rows = scratch.keep(rows, "dense-rows")
+    sizes = scratch.keep(rows.groupBy("key").agg(F.count("*").alias("m"), F.sum("n").alias("weight"), F.min("root").alias("x"), F.max("root").alias("y")).where("x < y"), "dense-sizes")
+    placed = rows.join(sizes, "key")
+    few = placed.where(F.col("m") <= BUCKET)
+    side = lambda s: few.select("key", F.col("at").alias(s), F.col("root").alias(f"{s}_root"), F.col("n").alias(f"{s}_n"))
+    pairs = side("a").join(side("b"), "key").where("a < b and a_root <> b_root").where(F.least("a_n", "b_n") >= _least_shared(F.greatest("a_n", "b_n"), similarity)).select("a", "b").distinct()
+    part = lambda s, x: sets.select(F.col("at").alias(s), F.col("id").alias(f"{s}_id"), F.col("shingles").alias(x))
+    both = pairs.join(part("a", "x"), "a").join(part("b", "y"), "b")
+    both = both.where(_alike("x", "y", similarity)).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    # a chunk meets each chunk of its bucket once: the pair is named by the lower and the higher one
+    count = F.ceil(F.col("weight") / CHUNK).cast("int")
+    dealt = placed.where(F.col("m") > BUCKET).select("at", "key", F.pmod(F.xxhash64("at"), count).cast("int").alias("chunk"), F.explode(F.sequence(F.lit(0), count - 1)).alias("other"))
+    dealt = dealt.select("at", "key", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    wide = dealt.join(sets.select("at", "id", "root", "shingles"), "at").select("key", "low", "high", (F.col("chunk") == F.col("low")).alias("lower"), "id", "root", "shingles")
+    return both.union(wide.groupBy("key", "low", "high").applyInArrow(_chunk_links(similarity), f"a {kind}, b {kind}")).distinct()
+
+
+def _chunk_links(similarity: float):
+    def run(table: pa.Table) -> pa.Table:
+        ids, roots = table["id"].combine_chunks(), table["root"].combine_chunks()
+        label = roots.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        lists = table["shingles"].combine_chunks()
+        values, cuts = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+        size = np.diff(cuts)
+        lower = table["lower"].to_numpy().astype(bool)
+        one, two = (np.flatnonzero(lower), np.flatnonzero(~lower)) if not lower.all() else (np.arange(len(ids)),) * 2
+        a, b = [], []
+        for i in range(0, len(one), BLOCK):
+            rows = one[i : i + BLOCK]
+            known, column = np.unique(np.concatenate([values[cuts[r] : cuts[r + 1]] for r in rows]), return_inverse=True)
+            left = np.zeros((len(rows), len(known)), np.float32)
+            left[np.repeat(np.arange(len(rows)), size[rows]), column] = 1
+            for j in range(0, len(two), BLOCK):
+                others = two[j : j + BLOCK]
+                if len(np.unique(label[np.concatenate([rows, others])])) == 1:
+                    continue
+                v = np.concatenate([values[cuts[r] : cuts[r + 1]] for r in others])
+                place = np.minimum(np.searchsorted(known, v), len(known) - 1)
+                hit = known[place] == v
+                right = np.zeros((len(others), len(known)), np.float32)
+                right[np.repeat(np.arange(len(others)), size[others])[hit], place[hit]] = 1
+                shared = left @ right.T
+                alike = shared >= similarity * (size[rows][:, None] + size[others][None, :] - shared.astype(np.float64))
+                for r, near in zip(rows[alike.any(axis=1)], alike[alike.any(axis=1)], strict=True):
+                    group = others[near]
+                    new, which = np.unique(label[group], return_index=True)
+                    for g in group[which[new != label[r]]]:  # a link for each group that this text joins
+                        a.append(r)
+                        b.append(g)
+                    label[np.isin(label, new)] = label[r]
+        return pa.table({"a": ids.take(pa.array(a, pa.int64())), "b": ids.take(pa.array(b, pa.int64()))})
+
+    return run
+
+
+def _alike(x: str, y: str, similarity: float) -> Column:
+    shared = F.size(F.array_intersect(x, y))
+    return shared >= similarity * (F.size(x) + F.size(y) - shared)
+
+
+def _verified(pairs: DataFrame, prints: DataFrame, docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str, scratch: Scratch) -> DataFrame:
     side = lambda s: prints.select(F.col("id").alias(s), *[F.col(f"f{k}").alias(f"{s}{k}") for k in range(WIDE)])
     far = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(WIDE)), F.lit(0))
-    near = scratch.keep(pairs.join(side("a"), "a").join(side("b"), "b").where(far <= FAR).select("a", "b"), f"near-{turn}")
+    near = scratch.keep(pairs.join(side("a"), "a").join(side("b"), "b").where(far <= FAR).select("a", "b"), "near")
     wanted = near.select(F.explode(F.array("a", "b")).alias("__wanted")).distinct()
-    sets = _shingle_hashes(docs.join(scratch.keep(wanted, f"wanted-{turn}"), F.col(id_col) == F.col("__wanted"), "left_semi").select(id_col, text_col), words, id_col, text_col)
-    sets = scratch.keep(sets, f"sets-{turn}")
+    sets = _shingle_hashes(docs.join(scratch.keep(wanted, "wanted"), F.col(id_col) == F.col("__wanted"), "left_semi").select(id_col, text_col), words, id_col, text_col)
+    sets = scratch.keep(sets, "sets")
     both = near.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b")
+    return both.where(_alike("x", "y", similarity)).select("a", "b")
 
 
 def keep_first(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

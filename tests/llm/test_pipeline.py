@@ -71,6 +71,29 @@ def test_similar_documents_in_a_large_group(spark):
     assert {1000 + i for i in range(30)} | {2000, 2001, None} <= set(ids)
 
 
+def _star(rng, centre_at, variants, words, changed, first):
+    """A text and variants of it, all similar to it and to few others: (id, text), the text itself at place centre_at."""
+    base = [f"w{first}x{j}" for j in range(words)]
+    rows = []
+    for i in range(variants + 1):
+        w = list(base)
+        for c in range(changed if i != centre_at else 0):
+            w[rng.randrange(words // changed * c + 2, words // changed * (c + 1) - 2)] = f"new{first + i}x{c}"
+        rows.append((first + i, " ".join(w)))
+    return rows
+
+
+def test_groups_do_not_depend_on_the_size_of_buckets(spark, monkeypatch):
+    """A bucket that counts as large leaves no pair out: a text that fell is still held against the rest."""
+    import random
+
+    rows = _star(random.Random(4), 60, 120, 300, 6, 0)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(simhash, "BUCKET", 2)
+    monkeypatch.setattr(simhash, "CHUNK", 9000, raising=False)  # several chunks
+    assert {r.doc_id for r in simhash.keep_first(df).collect()} == {0}
+
+
 def test_rest_works_without_this_package():
     """The raster part neither imports nor names the subpackage."""
     from pathlib import Path
