@@ -58,12 +58,6 @@ def _fingerprints(t: W.Texts, words: int) -> np.ndarray:
     return _majority(*_shingles(t, words))
 
 
-def _wide(t: W.Texts, words: int) -> list[np.ndarray]:
-    h, shingles, doc = _shingles(t, words)
-    with np.errstate(over="ignore"):
-        return [_majority(h if k == 0 else W.mix(h + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))), shingles, doc) for k in range(WIDE)]
-
-
 def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fingerprint long) of every row: word shingles of the text with A-Z lower-cased, XXH64 with seed 42,
     a bit for each that is set in over half of the shingles. Fewer words than `words`: the whole
@@ -133,26 +127,38 @@ def near_duplicates(docs: DataFrame, words: int = 5, bits: int = 2, id_col: str
     return prints.join(of, "fingerprint").select("id", "fingerprint", "component_id")
 
 
-#: Similar texts: fingerprints of WIDE words, in BANDS blocks of BAND bits; candidates share two blocks.
-WIDE, BANDS, BAND = 4, 21, 12
-#: Differing bits of the wide fingerprint above which a candidate pair is not compared word by word.
-FAR = 72
+#: Words of the parity sketch that rules pairs out before their shingles are read.
+SKETCH = 4
 #: Shingles of one chunk of a large bucket (a task holds two), and texts of it that are compared in one matrix product.
 CHUNK, BLOCK = 400_000, 128
 
 
-def wide_fingerprints(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, f0, f1, ...): WIDE independent 64-bit fingerprints of every row with a word, all from one hash of each shingle."""
+def _sketches(docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """(id, h0, h1, n, s0, ..., prefix) of every row with a word: 128 bits of hash of its set of shingles, their number, a
+    parity sketch (each shingle turns one bit over), and the least shingle hashes in order: n less those that a
+    similar set must share, plus one."""
     kind = docs.schema[id_col].dataType
+    bits = 64 * SKETCH
 
     def run(batches):
         for batch in batches:
             for at, to, t in W.texts(batch.column(1)):
-                some = np.flatnonzero(t.counts) + at
-                prints = [f[some - at].view(np.int64) for f in _wide(t, words)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some)), *map(pa.array, prints)], ["id", *(f"f{k}" for k in range(WIDE))])
-
-    schema = f"id {kind.simpleString()}, " + ", ".join(f"f{k} long" for k in range(WIDE))
+                h, shingles, _ = _shingles(t, words)
+                cuts = np.concatenate([[0], np.cumsum(shingles)])
+                some = np.flatnonzero(shingles)
+                sets = [np.unique(h[cuts[k] : cuts[k + 1]]) for k in some]
+                n = np.array([len(x) for x in sets], np.int64)
+                with np.errstate(over="ignore"):
+                    named = [np.array([W.mix(x ^ np.uint64(salt)).sum(dtype=np.uint64) for x in sets], np.uint64) for salt in (0, 0x9E3779B97F4A7C15)]
+                odd = np.array([np.bincount((x & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1 for x in sets], np.uint8)
+                sketch = np.packbits(odd.reshape(-1, bits), axis=1, bitorder="little").view("<i8")
+                length = n - np.ceil(similarity * n - 1e-6).astype(np.int64) + 1
+                prefix = pa.array([x[:k].view(np.int64) for x, k in zip(sets, length, strict=True)], pa.list_(pa.int64()))
+                columns = [*(x.view(np.int64) for x in named), n, *(np.ascontiguousarray(sketch[:, k]) for k in range(SKETCH))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some + at)), *map(pa.array, columns), prefix], names)
+
+    names = ["id", "h0", "h1", "n", *(f"s{k}" for k in range(SKETCH)), "prefix"]
+    schema = f"id {kind.simpleString()}, " + ", ".join(f"{c} long" for c in names[1:-1]) + ", prefix array<long>"
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string")).mapInArrow(run, schema)
 
 
@@ -171,55 +177,42 @@ def _shingle_hashes(docs: DataFrame, words: int, id_col: str, text_col: str) ->
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string")).mapInArrow(run, f"id {kind.simpleString()}, shingles array<long>")
 
 
-def _band_keys(prints: DataFrame) -> DataFrame:
-    """(id, key) for each pair of blocks: both blocks, with the pair's own number in the upper bits.
-
-    The pairs are one constant that Spark loops over, so plans and compiled code stay small."""
-
-    def block(b: int) -> Column:
-        low, word, shift = b * BAND, b * BAND // 64, b * BAND % 64
-        part = F.shiftrightunsigned(f"f{word}", shift)
-        if (low + BAND - 1) // 64 > word:
-            part = part.bitwiseOR(F.shiftleft(F.col(f"f{word + 1}"), 64 - shift))
-        return part.bitwiseAND((1 << BAND) - 1)
-
-    pairs = F.array(*[F.lit(a * BANDS + b) for a, b in combinations(range(BANDS), 2)])
-    rows = prints.select("id", F.array(*[block(b) for b in range(BANDS)]).alias("blocks")).select("id", "blocks", F.explode(pairs).alias("p"))
-    first, second = F.col("blocks")[F.floor(F.col("p") / BANDS).cast("int")], F.col("blocks")[F.col("p") % BANDS]
-    return rows.select("id", F.shiftleft(F.col("p").cast("long"), 2 * BAND).bitwiseOR(F.shiftleft(first, BAND)).bitwiseOR(second).alias("key"))
-
-
 def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, first) of documents that fall to one with a smaller id, over links of texts whose sets of word shingles have a
     Jaccard similarity of `similarity` at least.
 
-    Candidates are found by blocks of wide fingerprints: two texts at similarity 0.8 share two of the
-    blocks with a chance of about 0.8, at 0.9 of 0.99; fingerprints that differ in no more bits than
-    blocks less two always do. Every link is verified on the shingles. Large buckets (many variants of
-    one text) are first held against their least id only; members of those that this does not make
-    one group are all compared with each other by `_dense_links`. A text that fell is compared like any
-    other. Texts without words and rows without an id take no part; rows with one id are judged together.
+    Exact but for equal hashes of shingles: two such sets share one of the first n less `_least_shared`
+    plus one of either, in any order of all shingles. Here it is that of the hashes, so each text goes
+    to a bucket for each of its least hashes (a fifth of them at 0.8). Pairs go on if what follows the
+    shared one and the parity sketches (which differ in no more bits than the sets in shingles) allow
+    the similarity, and each is verified on the shingles. Large buckets (many variants of one text, or
+    a common passage) are first held against their least id only; members of those that this does not
+    make one group are all compared with each other by `_dense_links`. A text that fell is compared like
+    any other. Texts without words and rows without an id take no part; rows with one id are judged together.
     """
     scratch = Scratch(docs.sparkSession)
     docs = docs.where(F.col(id_col).isNotNull())
-    names = [f"f{k}" for k in range(WIDE)]
-    prints = scratch.keep(wide_fingerprints(docs, words, id_col, text_col), "wide")
-    # equal fingerprints first: groups of exact copies end here
-    least = scratch.keep(prints.groupBy(*names).agg(F.min("id").alias("first")), "wide-distinct")
-    copies = scratch.keep(prints.join(least, names).where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "copies")
-    left = scratch.keep(least.select(F.col("first").alias("id"), *names), "left")
-    keyed = _band_keys(left)
-    sizes = scratch.keep(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1"), "sizes")
+    sketches = scratch.keep(_sketches(docs, words, similarity, id_col, text_col).withColumn("at", F.monotonically_increasing_id()), "sketches")
+    # equal sets first: groups of exact copies end here
+    least = scratch.keep(sketches.groupBy("h0", "h1").agg(F.min(F.struct("id", "at")).alias("first")), "distinct")
+    copies = sketches.select("id", "h0", "h1").join(least, ["h0", "h1"]).where(F.col("id") != F.col("first.id"))
+    copies = scratch.keep(copies.select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct(), "copies")
+    left = sketches.join(least.select(F.col("first.at").alias("at")), "at", "left_semi")
+    keyed = left.select("id", "n", F.posexplode("prefix").alias("pos", "key"))
+    sizes = scratch.keep(keyed.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("lead")).where("m > 1"), "sizes")
     placed = scratch.keep(keyed.join(sizes, "key"), "placed")
-    few, many = placed.where(F.col("n") <= BUCKET), placed.where(F.col("n") > BUCKET)
-    pairs = few.select("key", F.col("id").alias("a")).join(few.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b")
+    few, many = placed.where(F.col("m") <= BUCKET), placed.where(F.col("m") > BUCKET)
+    side = lambda s: few.select("key", F.col("id").alias(s), F.col("n").alias(f"{s}_n"), (F.col("n") - F.col("pos")).alias(f"{s}_rest"))
+    # of the first shingle that two sets share, no more follow than the shorter rest has
+    room = F.least("a_rest", "b_rest") * (1 + similarity) + 1e-6 >= similarity * (F.col("a_n") + F.col("b_n"))
+    pairs = side("a").join(side("b"), "key").where("a < b").where(room).select("a", "b")
     pairs = pairs.union(many.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b"))).distinct()
     found = copies.union(scratch.keep(_verified(pairs, left, docs, words, similarity, id_col, text_col, scratch), "links"))
     roots = scratch.keep(components(found, scratch), "roots")
     named = many.select("key", "id").join(roots, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("root", "id").alias("root"))
     apart = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
     open_ = scratch.keep(named.join(apart, "key").select("id", "root").distinct(), "open")
-    scratch.drop("sizes", "placed")
+    scratch.drop("sizes", "placed", "sketches", "near", "wanted", "sets")
     if open_.limit(1).count():
         more = scratch.keep(_dense_links(open_, docs, words, similarity, id_col, text_col, scratch), "more")
         roots = scratch.keep(components(found.union(more), scratch), "all-roots")
@@ -308,10 +301,12 @@ def _alike(x: str, y: str, similarity: float) -> Column:
     return shared >= similarity * (F.size(x) + F.size(y) - shared)
 
 
-def _verified(pairs: DataFrame, prints: DataFrame, docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str, scratch: Scratch) -> DataFrame:
-    side = lambda s: prints.select(F.col("id").alias(s), *[F.col(f"f{k}").alias(f"{s}{k}") for k in range(WIDE)])
-    far = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(WIDE)), F.lit(0))
-    near = scratch.keep(pairs.join(side("a"), "a").join(side("b"), "b").where(far <= FAR).select("a", "b"), "near")
+def _verified(pairs: DataFrame, left: DataFrame, docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str, scratch: Scratch) -> DataFrame:
+    side = lambda s: left.select(F.col("id").alias(s), F.col("n").alias(f"{s}_n"), *[F.col(f"s{k}").alias(f"{s}{k}") for k in range(SKETCH)])
+    odd = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(SKETCH)), F.lit(0))
+    # sets at this similarity differ in no more than that part of their shingles
+    close = odd <= (F.col("a_n") + F.col("b_n")) * F.lit((1 - similarity) / (1 + similarity)) + 1e-6
+    near = scratch.keep(pairs.join(side("a"), "a").join(side("b"), "b").where(close).select("a", "b").distinct(), "near")
     wanted = near.select(F.explode(F.array("a", "b")).alias("__wanted")).distinct()
     sets = _shingle_hashes(docs.join(scratch.keep(wanted, "wanted"), F.col(id_col) == F.col("__wanted"), "left_semi").select(id_col, text_col), words, id_col, text_col)
     sets = scratch.keep(sets, "sets")

@@ -94,6 +94,29 @@ def test_groups_do_not_depend_on_the_size_of_buckets(spark, monkeypatch):
     assert {r.doc_id for r in simhash.keep_first(df).collect()} == {0}
 
 
+def test_no_similar_pair_is_missed(spark):
+    """Pairs at a similarity of barely 0.8, of many lengths, and a text in the middle of a group of 40."""
+    import random
+
+    rng = random.Random(8)
+    rows = _star(rng, 20, 39, 300, 6, 0)
+    for k in range(200):
+        n = rng.randint(9, 120)
+        w = [f"p{k}x{j}" for j in range(n)]
+        rows += [(1000 + 2 * k, " ".join(w)), (1001 + 2 * k, " ".join(w + [f"q{k}x{j}" for j in range((n - 4) // 4)]))]
+    rows += [(i + 5000, f"p{i} a b c {i} d") for i in range(100)]
+    sets = {i: shingles(t) for i, t in rows}
+    root = {i: i for i in sets}
+    for b in sorted(sets):
+        for a in sets:
+            if a < b and sets[a] & sets[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    want = {(i, r) for i, r in root.items() if i != r}
+    assert len(want) == 39 + 200
+    assert {(r.id, r.first) for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()} == want
+
+
 def test_rest_works_without_this_package():
     """The raster part neither imports nor names the subpackage."""
     from pathlib import Path
