@@ -8,7 +8,7 @@ from pyspark.sql import Window
 
 from orogrid.llm._shared import Scratch
 
-#: Lines with fewer words are always kept: they repeat by chance.
+#: Lines with fewer words are always kept unless the caller asks for less: the SQL of the query has this floor.
 LEAST_WORDS = 3
 #: Lines with fewer words are compared exactly only: one edit would be too large a share of them.
 EDIT_WORDS = 8
@@ -26,12 +26,12 @@ def _count(plain: Column) -> Column:
     return F.when(plain == "", 0).otherwise(F.octet_length(plain) - F.octet_length(F.replace(plain, F.lit(" "), F.lit(""))) + 1)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(place, plain, n, line) of every line of at least LEAST_WORDS words; place orders all lines of the corpus."""
+def _lines(docs: DataFrame, least_words: int) -> DataFrame:
+    """(place, plain, n, line) of every line of at least least_words words; place orders all lines of the corpus."""
     rows = docs.select("doc", "row", F.posexplode(F.split("text", "\n", -1)).alias("at", "text"))
     place = F.struct(F.col("doc").isNull().alias("none"), "doc", "row", "at").alias("place")
     rows = rows.select(place, _plain(F.col("text")).alias("plain")).withColumn("n", _count(F.col("plain")))
-    return rows.where(F.col("n") >= LEAST_WORDS).withColumn("line", F.xxhash64("plain"))
+    return rows.where(F.col("n") >= least_words).withColumn("line", F.xxhash64("plain"))
 
 
 def _halves() -> list[Column]:
@@ -94,12 +94,12 @@ def _near(docs: DataFrame, unique: DataFrame, scratch: Scratch) -> DataFrame:
     return pairs.where(_within_one_edit(F.col("words"), F.col("others"))).groupBy("line").agg(F.min("near").alias("near"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """(row, text, n_lines, n_dropped, n_near, n_left) of every row of docs; row is a struct of its columns but the text.
 
-    A line (between \\n) of LEAST_WORDS words or more is dropped if an earlier line has the same words,
+    A line (between \\n) of least_words words or more is dropped if an earlier line has the same words,
     or, from EDIT_WORDS words on, if an earlier line is one inserted, deleted or replaced word away
-    (n_near counts those without an equal one before; n_left the lines of LEAST_WORDS words that stay). Earlier: in a document with a smaller id, or
+    (n_near counts those without an equal one before; n_left the lines of least_words words that stay). Earlier: in a document with a smaller id, or
     before it in the same one; null ids come last. All lines are judged on the input, so a line can
     fall to one that itself falls. White space between words does not count; kept lines stay as they
     are and are joined by \\n again. A null text stays null (no lines); an empty one has one line.
@@ -114,7 +114,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]) if len(docs.columns) > 1 else F.struct(F.lit(None).alias("none"))
     docs = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("row"), F.col(text_col).cast("string").alias("text"), others.alias("columns"))
     place = ("none", "doc", "row", "at")
-    found = _lines(docs.select("doc", "row", "text"))
+    found = _lines(docs.select("doc", "row", "text"), least_words)
     halves = [F.when(F.col("n") >= EDIT_WORDS, h).alias(f"h{k}") for k, h in enumerate(_halves())]
     # flat numbers are combined on the map side; the halves are equal for equal lines
     flat = found.select("line", "n", *(F.col(f"place.{c}").alias(c) for c in place), *halves)
@@ -130,7 +130,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         told.hint("merge").alias("t"), F.col("d.doc").eqNullSafe(F.col("t.doc")) & (F.col("d.row") == F.col("t.row")), "left"
     )
     lines = F.split("text", "\n", -1)
-    flagged = F.transform(lines, lambda x, i: F.struct(x.alias("line"), (F.array_contains("firsts", i) | (_count(_plain(x)) < LEAST_WORDS)).alias("stays")))
+    flagged = F.transform(lines, lambda x, i: F.struct(x.alias("line"), (F.array_contains("firsts", i) | (_count(_plain(x)) < least_words)).alias("stays")))
     out = out.select("columns", F.col("d.text").alias("text"), F.coalesce("firsts", F.array().cast("array<int>")).alias("firsts"), F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"))
     out = out.withColumn("kept", F.filter(flagged, lambda x: x["stays"])).withColumn("n", F.coalesce(F.size(lines), F.lit(0)))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")

@@ -191,6 +191,12 @@ def test_lines(spark, docs, empty):
     assert linededup.dedup_lines(empty).count() == 0
 
 
+def test_lines_of_any_length(spark):
+    rows = [(1, "话语没有空格\nHome\n\nshort line"), (2, "话语没有空格\nHome\nother\n\nshort  line"), (3, "Home")]
+    got = {r.row.doc_id: (r.text, r.n_dropped, r.n_left) for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), least_words=1).collect()}
+    assert got == {1: ("话语没有空格\nHome\n\nshort line", 0, 3), 2: ("other\n", 3, 1), 3: ("", 1, 0)}
+
+
 # 4
 
 
