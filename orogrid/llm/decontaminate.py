@@ -47,6 +47,24 @@ def _score() -> Column:
     return F.aggregate(F.sequence(low, high), start, go)["best"]
 
 
+def _short(data: DataFrame, items: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """(doc, row, item, score, i, last) where a document holds all words of an item of fewer than SPAN in a row; None without such items.
+
+    The words of each length that items have are hashed at every position and meet broadcast blocks like seeds."""
+    items = scratch.keep(items.select("item", "item_hashes", F.size("item_hashes").alias("n"), F.xxhash64("item_hashes").alias("seed")), "short")
+    lengths = {r.n: r["count"] for r in items.groupBy("n").count().collect()}
+    found = None
+    for n in sorted(lengths):
+        blocks = -(-lengths[n] // BLOCK_SEEDS)
+        for b in range(blocks):
+            block = items.where((F.col("n") == n) & (F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)).select("item", "item_hashes", "seed")
+            at = data.where(F.size("hashes") >= n).select("doc", "row", "hashes", F.explode(F.sequence(F.lit(0), F.size("hashes") - n)).alias("i"))
+            at = at.select("doc", "row", "i", F.array(*[F.col("hashes")[F.col("i") + k] for k in range(n)]).alias("held")).withColumn("seed", F.xxhash64("held"))
+            hits = at.join(F.broadcast(block), "seed").where(F.col("held") == F.col("item_hashes")).select("doc", "row", "item", F.lit(n).alias("score"), "i", (F.col("i") + n - 1).alias("last"))
+            found = hits if found is None else found.union(hits)
+    return found
+
+
 def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc, row, item, score, first, last): test items that a document holds, row by row.
 
@@ -55,8 +73,9 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
     at most BLOCK_SEEDS; only hits leave the scan, each with the words around it.
     """
     scratch = Scratch(docs.sparkSession)
-    hashed = items.select(F.col(item_col).alias("item"), F.transform(words(F.col(item_text_col).cast("string")), lambda w: F.xxhash64(w)).alias("item_hashes")).where(F.size("item_hashes") >= SPAN)
-    hashed = scratch.keep(hashed, "items")
+    hashed = items.select(F.col(item_col).alias("item"), F.transform(words(F.col(item_text_col).cast("string")), lambda w: F.xxhash64(w)).alias("item_hashes")).where(F.size("item_hashes") > 0)
+    short = hashed.where(F.size("item_hashes") < SPAN)
+    hashed = scratch.keep(hashed.where(F.size("item_hashes") >= SPAN), "items")
     count = hashed.agg(F.sum((F.size("item_hashes") - SPAN + 1) * len(MASKS))).first()[0] or 0
     blocks = max(1, -(-count // BLOCK_SEEDS))
     data = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("row"), F.transform(words(F.col(text_col).cast("string")), lambda w: F.xxhash64(w)).alias("hashes"))
@@ -68,9 +87,11 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
         near = F.slice("hashes", F.greatest(F.col("i") - AROUND, F.lit(0)) + 1, F.lit(2 * AROUND + SPAN))
         hits = hits.select("doc", "row", "item", "i", "j", near.alias("near"), F.least(F.col("i"), F.lit(AROUND)).alias("i0"))
         hits = scratch.keep(hits, f"hits-{b}")
-        scored = hits.join(hashed, "item").withColumn("score", _score()).where(F.col("score") >= F.least(F.lit(LEAST_SCORE), F.size("item_hashes")))
+        scored = hits.join(hashed, "item").withColumn("score", _score()).where(F.col("score") >= F.least(F.lit(LEAST_SCORE), F.size("item_hashes"))).select("doc", "row", "item", "score", "i", (F.col("i") + SPAN - 1).alias("last"))
         found = scored if found is None else found.union(scored)
-    return found.groupBy("doc", "row", "item").agg(F.max("score").alias("score"), F.min("i").alias("first"), F.max(F.col("i") + SPAN - 1).alias("last"))
+    whole = _short(data, short, scratch)
+    found = found if whole is None else found.union(whole)
+    return found.groupBy("doc", "row", "item").agg(F.max("score").alias("score"), F.min("i").alias("first"), F.max("last").alias("last"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **names: str) -> DataFrame:
@@ -79,7 +100,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     items: the ids of the test items found, in order; score: the best overlap (0: none). An overlap
     is a run of aligned words of a document and an item with a seed in it in which agreeing words,
     less PENALTY for each that differs, come to LEAST_SCORE: 12 equal words, or 13 to 16 with one replaced.
-    Null and empty texts hold no item. Items with fewer than SPAN words are not looked for. Rows with
+    Null and empty texts hold no item. Items with
+    fewer than SPAN words are found where all their words stand in a row (score: their number). Rows with
     a null id are judged as well; equal rows stay as many. Empty tables on either side give no overlap.
     """
     found = overlaps(docs, items, id_col, text_col, **names).groupBy("doc", "row").agg(F.array_sort(F.collect_list("item")).alias("items"), F.max("score").alias("score"))

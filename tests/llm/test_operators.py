@@ -472,3 +472,11 @@ def test_contamination(spark, docs, empty):
         assert decontaminate.contaminated(df, bench).where("contaminated").count() == 7
     finally:
         decontaminate.BLOCK_SEEDS = monkey
+
+
+def test_contamination_by_short_items(spark):
+    rows = [(1, "so Who wrote\nthe long book then"), (2, "who wrote the book"), (3, "Paris"), (4, None), (5, "a b c d e f g h i j"), (6, "b c d e f g h i j a")]
+    items = [(1, "who wrote the long book"), (2, "paris"), (3, "a b c d e f g h i j"), (4, ""), (5, "paris"), (6, "who wrote the long book that nobody has read to its end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.row.doc_id: (r["items"], r.score) for r in decontaminate.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {1: ([1], 5), 2: ([], 0), 3: ([2, 5], 1), 4: ([], 0), 5: ([3], 10), 6: ([], 0)}
