@@ -279,17 +279,63 @@ def test_substrings(spark, docs, empty, window):
 
 
 def test_equal_passages_share_interior_symbols():
+    """What a symbol depends on is told: equal words from low to high give the symbol at the same place, at every level."""
     import numpy as np
 
     from orogrid.llm import _words
 
     rng = np.random.default_rng(1)
-    a = _words.mix(rng.integers(0, 50, 400).astype(np.uint64))
-    b = np.concatenate([_words.mix(np.arange(77, dtype=np.uint64)), a, a[:30]])
-    sa, at_a = recompress.recompress(a, np.array([0, len(a)]), 6)
-    sb, at_b = recompress.recompress(b, np.array([0, len(b)]), 6)
-    inside = {(s, p) for s, p in zip(sa.tolist(), at_a.tolist(), strict=True) if 64 <= p < 300}
-    assert inside and inside <= {(s, p - 77) for s, p in zip(sb.tolist(), at_b.tolist(), strict=True)}
+    for size in (2, 50):  # with many runs and periods, and with few
+        a = _words.mix(rng.integers(0, size, 400).astype(np.uint64))
+        b = np.concatenate([_words.mix(np.arange(77, dtype=np.uint64)), a, a[:30]])
+        for rounds in (0, 1, 3, 6):
+            sa, sb = (recompress.recompress(x, np.array([0, len(x)]), rounds) for x in (a, b))
+            have = set(zip(sb.names.tolist(), (sb.at - 77).tolist(), strict=True))
+            inside = (sa.low >= 0) & (sa.high <= len(a))
+            assert inside.any() and set(zip(sa.names[inside].tolist(), sa.at[inside].tolist(), strict=True)) <= have
+            assert (np.diff(sa.low) >= 0).all() and (np.diff(sa.high) >= 0).all()
+
+
+def test_nothing_is_found_without_symbols(spark, monkeypatch):
+    """All repeats come through symbols: with random names none is left."""
+    import random
+
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage = [word() for _ in range(60)]
+    rows = [(i, " ".join([word() for _ in range(30)] + passage[: 20 + i] + [word() for _ in range(30)])) for i in range(30)] + [(90 + i, " ".join(passage)) for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert sorted(tuple(r) for r in recompress.dedup_substrings(df).collect()) == sorted(kept_after(rows, 13))
+    real = recompress._long, recompress._short, recompress._windows
+
+    def blind(make):
+        def made(window):
+            inner = make(window)
+
+            def run(batches):
+                import numpy as np
+
+                plain = recompress.recompress
+
+                def random_names(words, first, rounds):
+                    s = plain(words, first, rounds)
+                    return s._replace(names=np.random.default_rng().integers(0, 1 << 63, len(s.names)).astype(np.uint64))
+
+                recompress.recompress = random_names
+                try:
+                    yield from inner(batches)
+                finally:
+                    recompress.recompress = plain
+
+            return run
+
+        return made
+
+    for name, make in zip(("_long", "_short", "_windows"), real, strict=True):
+        monkeypatch.setattr(recompress, name, blind(make))
+    different = [(i, f"{t} e{i}") for i, t in rows]  # no two whole texts alike
+    got = recompress.dedup_substrings(spark.createDataFrame(different, "doc_id long, text string")).collect()
+    assert sum(r.n_removed for r in got) == 0
 
 
 # 6
