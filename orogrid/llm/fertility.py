@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,36 +15,36 @@ from orogrid.llm import _words as W
 from orogrid.llm._shared import Scratch
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: A vocabulary of pieces with byte fallback, which measures words.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 #: How the vocabulary's publishers split text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Bands: least and most characters per token, most share of tokens that are one non-ASCII byte,
-#: least token entropy as a share of log2(min(tokens, 1000)). By language, else by script.
+#: Outer bands: least and most characters per token, least and most characters of words per piece, most share of pieces
+#: that fall back on a byte, least token entropy as a share of log2(min(tokens, 1000)). By language, else by script.
 BANDS = {
-    "en": (1.9, 7.0, 0.05, 0.42),
-    "de": (1.7, 6.5, 0.12, 0.42),
-    "es": (1.55, 6.5, 0.12, 0.42),
-    "fr": (1.55, 6.5, 0.12, 0.42),
-    "latin": (1.3, 7.0, 0.20, 0.40),
-    "greek": (0.4, 4.0, 0.70, 0.30),
-    "cyrillic": (0.4, 4.0, 0.70, 0.30),
-    "arabic": (0.4, 4.0, 0.80, 0.30),
-    "cjk": (0.3, 3.0, 0.95, 0.30),
-    "other": (0.1, 7.0, 1.00, 0.20),
+    "en": (1.9, 7.0, 1.2, 7.0, 0.02, 0.42),
+    "de": (1.7, 6.5, 1.2, 7.0, 0.03, 0.42),
+    "es": (1.55, 6.5, 1.2, 7.0, 0.03, 0.42),
+    "fr": (1.55, 6.5, 1.2, 7.0, 0.03, 0.42),
+    "latin": (1.3, 7.0, 1.0, 7.0, 0.10, 0.40),
+    "greek": (0.4, 4.0, 0.5, 4.0, 0.20, 0.30),
+    "cyrillic": (0.4, 4.0, 0.9, 5.0, 0.10, 0.30),
+    "arabic": (0.4, 4.0, 0.5, 4.0, 0.30, 0.30),
+    "cjk": (0.3, 3.0, 0.3, 2.0, 0.80, 0.30),
+    "other": (0.1, 7.0, 0.1, 7.0, 1.00, 0.20),
 }
-#: Texts with fewer tokens are too short for the bands.
-LEAST_TOKENS = 30
-#: Inner bands, from the corpus: how many scaled median deviations a measure of a text of `FULL` tokens
-#: may lie from the median of its language (shorter texts: more, as the root of the length), for texts of
-#: USUAL tokens at least, the least deviation that counts, and texts that a language must have for this.
-AROUND = {"chars_per_token": (6.5, 6.5, 0.02), "byte_share": (None, 8.0, 0.005), "evenness": (2.0, None, 0.02)}
-FULL, USUAL, LEAST_TEXTS = 700, 100, 20
+#: Inner bands, from the corpus: how many scaled median deviations a measure of a text of `FULL` tokens may lie below and
+#: above the median of its language (shorter texts: more, as the root of the length), and the least deviation that counts.
+AROUND = {"chars_per_token": (5.0, 6.5, 0.02), "chars_per_piece": (5.5, 6.5, 0.02), "byte_share": (None, 8.0, 0.005), "evenness": (2.0, None, 0.02)}
+#: Tokens from which the inner bands no longer narrow, and texts that a language must have for its own.
+FULL, LEAST_TEXTS = 700, 20
 #: Runs without white space are measured in pieces of this many characters at most.
 PIECE = 1 << 16
 
 FIELDS = [
-    *((n, pa.int64()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens")),
-    *((n, pa.float64()) for n in ("chars_per_token", "byte_share", "token_entropy")),
+    *((n, pa.int64()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens", "n_pieces")),
+    *((n, pa.float64()) for n in ("chars_per_token", "chars_per_piece", "byte_share", "token_entropy")),
     ("band", pa.string()), ("base_failed", pa.bool_()), ("in_band", pa.bool_()),
 ]
 _TYPES = {pa.int64(): "long", pa.float64(): "double", pa.string(): "string", pa.bool_(): "boolean"}
@@ -63,9 +64,29 @@ def _encoder(path: str):
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-    single = np.zeros(max(ranks.values()) + 1, bool)
-    single[[r for b, r in ranks.items() if len(b) == 1 and b[0] >= 0x80]] = True
-    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), single
+    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@lru_cache(maxsize=4)
+def _processor(path: str):
+    import sentencepiece
+
+    p = sentencepiece.SentencePieceProcessor(model_file=path)
+    return p, np.array([p.is_byte(i) for i in range(p.get_piece_size())])
+
+
+def _word_pieces(t: W.Texts, processor, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of the words of each text, and those among them that stand for one byte of a character that the vocabulary
+    lacks. Each word is cut into pieces once for all its places in these texts; words are at most PIECE characters at a time."""
+    _, first, again = np.unique(t.word_hashes(), return_index=True, return_inverse=True)
+    words = [t.data[a:b].tobytes().decode() for a, b in zip(t.starts[first].tolist(), t.ends[first].tolist(), strict=True)]
+    parts = [[w] if len(w) <= PIECE else [w[i : i + PIECE] for i in range(0, len(w), PIECE)] for w in words]
+    ids = processor.encode(list(chain.from_iterable(parts)), num_threads=1) if words else []
+    size = np.fromiter(map(len, ids), np.int64, len(ids))
+    total = np.append(0, np.cumsum(size))
+    back = np.append(0, np.cumsum(byte[np.fromiter(chain.from_iterable(ids), np.int64, int(size.sum()))]))[total]
+    cut = np.append(0, np.cumsum([len(x) for x in parts], dtype=np.int64))
+    return tuple(_sums(np.diff(x[cut])[again], t.first) for x in (total, back))
 
 
 def _pieces(text: str):
@@ -82,21 +103,19 @@ def _pieces(text: str):
     yield text[at:]
 
 
-def _tokens(text: str, encoding, single: np.ndarray) -> tuple[int, int, float]:
-    """Tokens, single-byte ones among them, and the entropy of their distribution in bits."""
-    counts = np.zeros(len(single), np.int64)
-    for piece in _pieces(text):
-        ids = np.asarray(encoding.encode_ordinary(piece), np.int64) if len(piece) < 64 else encoding.encode_to_numpy(piece, disallowed_special=())
-        counts += np.bincount(ids, minlength=len(single)) if len(ids) > len(single) >> 3 else 0
-        if len(ids) <= len(single) >> 3:
-            if len(text) <= PIECE:
-                _, few = np.unique(ids, return_counts=True)
-                p = few / max(1, len(ids))
-                return len(ids), int(single[ids].sum()), float(-(p * np.log2(p)).sum()) + 0.0
-            np.add.at(counts, ids, 1)
+def _tokens(text: str, encoding) -> tuple[int, float]:
+    """Tokens, and the entropy of their distribution in bits."""
+    if len(text) <= PIECE:
+        ids = np.asarray(encoding.encode_ordinary(text), np.int64) if len(text) < 64 else encoding.encode_to_numpy(text, disallowed_special=())
+        counts = np.unique(ids, return_counts=True)[1]
+    else:  # counted piece by piece, so that only the counts of a very long text are held
+        counts = np.zeros(encoding.n_vocab, np.int64)
+        for piece in _pieces(text):
+            counts += np.bincount(encoding.encode_to_numpy(piece, disallowed_special=()), minlength=len(counts))
+        counts = counts[counts > 0]
     n = int(counts.sum())
-    p = counts[counts > 0] / max(1, n)
-    return n, int(counts[single].sum()), float(-(p * np.log2(p)).sum()) + 0.0
+    p = counts / max(1, n)
+    return n, float(-(p * np.log2(p)).sum()) + 0.0
 
 
 def _sums(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -143,56 +162,54 @@ def _base(t: W.Texts) -> dict[str, np.ndarray]:
     }
 
 
-def _measure(path: str, bands: dict):
+def _measure(path: str, pieces: str, bands: dict):
     def run(batches):
-        encoding, single = _encoder(path)
+        encoding, (processor, byte) = _encoder(path), _processor(pieces)
         for batch in batches:
             rows, langs = batch.column(0), batch.column(2)
             for at, to, t in W.texts(batch.column(1)):
-                base = _base(t)
-                cols = {n: [] for n, _ in FIELDS[5:10]}
-                for k, s in enumerate(batch.column(1).slice(at, to - at)):
-                    text = s.as_py() or ""
-                    n, one, bits = _tokens(text, encoding, single)
-                    lang = langs[at + k].as_py()
-                    for name, value in zip(cols, (n, len(text) / n if n else 0.0, one / n if n else 0.0, bits, lang if lang in bands else _SCRIPTS[base["script"][k]]), strict=True):
-                        cols[name].append(value)
-                failed = (base["n_words"] < 10) | (100 * base["n_repeat_words"] > 20 * base["n_words"])
-                low, high, most, entropy = np.array([bands.get(b, bands["other"]) for b in cols["band"]], float).reshape(-1, 4).T
-                n, cpt, share, bits = (np.array(cols[c], float) for c in ("n_tokens", "chars_per_token", "byte_share", "token_entropy"))
-                fits = (n < LEAST_TOKENS) | ((cpt >= low) & (cpt <= high) & (share <= most) & (bits >= entropy * np.log2(np.clip(n, 2, 1000))))
-                cols |= base | {"base_failed": failed, "in_band": fits}
+                cols = _base(t)
+                script = cols.pop("script")
+                tokens = [(len(s), *_tokens(s, encoding)) for s in ((x.as_py() or "") for x in batch.column(1).slice(at, to - at))]
+                chars, n, bits = (np.array(x, float) for x in zip(*tokens, strict=True))
+                pieces_, back = _word_pieces(t, processor, byte)
+                band = [lang if (lang := langs[at + k].as_py()) in bands else _SCRIPTS[script[k]] for k in range(to - at)]
+                cpt, cpp, share = chars / np.maximum(n, 1), cols["word_chars"] / np.maximum(pieces_, 1), back / np.maximum(pieces_, 1)
+                failed = (cols["n_words"] < 10) | (100 * cols["n_repeat_words"] > 20 * cols["n_words"])
+                low, high, least, most, fallback, even = np.array([bands.get(b, bands["other"]) for b in band], float).reshape(-1, 6).T
+                fits = (cpt >= low) & (cpt <= high) & (cpp >= least) & (cpp <= most) & (share <= fallback) & (bits >= even * np.log2(np.clip(n, 2, 1000)))
+                cols |= {"n_tokens": n.astype(np.int64), "n_pieces": pieces_, "chars_per_token": cpt, "chars_per_piece": cpp, "byte_share": share, "token_entropy": bits, "band": band, "base_failed": failed, "in_band": fits}
                 yield pa.RecordBatch.from_arrays([rows.slice(at, to - at), *(pa.array(cols[n], t) for n, t in FIELDS)], ["row", *(n for n, _ in FIELDS)])
 
     return run
 
 
 def _inner(measured: DataFrame) -> DataFrame:
-    """By band, the exact median and scaled median deviation of each measure over all usual texts (values to three digits)."""
-    usual = measured.where(f"n_tokens >= {USUAL} and not base_failed")
+    """By band, the exact median and median deviation of each measure over all texts that pass the base rules (values to three digits)."""
+    usual = measured.where("not base_failed")
     near = F.broadcast(usual.groupBy("band").agg(F.count("*").alias("texts"), *(F.percentile(F.round(c, 3), 0.5).alias(f"{c}_mid") for c in AROUND)))  # a row for each band: len(bands) at most
     wide = (F.percentile(F.round(F.abs(F.col(c) - F.col(f"{c}_mid")), 3), 0.5).alias(f"{c}_dev") for c in AROUND)
     return near.join(usual.join(near, "band").groupBy("band").agg(*wide), "band")
 
 
-def assess(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", vocabulary: str = VOCABULARY, bands: dict | None = None, keep_text: bool = True) -> DataFrame:
+def assess(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", vocabulary: str = VOCABULARY, pieces: str = PIECES, bands: dict | None = None, keep_text: bool = True) -> DataFrame:
     """(row, measures, base_failed, in_band, kept) of every row; row is a struct of all columns of docs (keep_text: the text, too), so names can't clash.
 
-    One pass over whole texts measures them; only a few numbers are then shuffled. base_failed: fewer
-    than 10 words, or over 20 % of the words in five-word windows that the text repeats. in_band:
-    characters per token, single-byte share and token entropy (as a share of that of evenly used
-    tokens) within the outer band of the language, or of the script with the most letters where the
-    language is null or has no band. kept: not base_failed, in_band, and within the inner band that
-    the corpus itself gives for the language (see AROUND). Texts of under LEAST_TOKENS tokens pass
-    the outer bands, those under USUAL the inner ones. Null and empty texts have no words and fail.
-    Equal rows stay as many. `vocabulary` is a file of ranks, read on each executor. An empty table
-    gives an empty one.
+    One pass over whole texts measures them with two public vocabularies; only a few numbers are then
+    shuffled. base_failed: fewer than 10 words, or over 20 % of the words in five-word windows that the
+    text repeats. chars_per_token and token_entropy: of the whole text in `vocabulary` (a file of ranks);
+    chars_per_piece and byte_share: of its words in `pieces`, which falls back on bytes. Both files are
+    read on each executor. in_band: all four within the outer band of the language, or of the script with
+    the most letters where the language is null or has no band. kept: not base_failed, in_band, and within
+    the inner band that the corpus itself gives for the language (see AROUND; languages of fewer than
+    LEAST_TEXTS texts have none). Null and empty texts have no words and fail. Equal rows stay as many. An
+    empty table gives an empty one.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if keep_text or c != text_col]).alias("row")
     lang = F.col(lang_col).cast("string") if lang_col and lang_col in docs.columns else F.lit(None).cast("string")
     data = docs.select(row, F.col(text_col).cast("string").alias("text"), lang.alias("lang"))
     schema = f"row {data.schema['row'].dataType.simpleString()}, " + ", ".join(f"{n} {_TYPES[t]}" for n, t in FIELDS)
-    measured = data.mapInArrow(_measure(vocabulary, bands or BANDS), schema)
+    measured = data.mapInArrow(_measure(vocabulary, pieces, bands or BANDS), schema)
     measured = measured.withColumn("evenness", F.col("token_entropy") / F.log2(F.least(F.greatest("n_tokens", F.lit(2)), F.lit(1000))))
     measured = Scratch(docs.sparkSession).keep(measured, "measured")
     fits = F.lit(True)
@@ -200,6 +217,6 @@ def assess(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang
     for c, (below, above, least) in AROUND.items():
         off = (F.col(c) - F.col(f"{c}_mid")) / F.greatest(F.col(f"{c}_dev") * 1.4826, F.lit(least)) / slack
         fits &= (off >= -below if below else F.lit(True)) & (off <= above if above else F.lit(True))
-    unusual = F.col("texts").isNull() | (F.col("texts") < LEAST_TEXTS) | (F.col("n_tokens") < USUAL)
+    unusual = F.col("texts").isNull() | (F.col("texts") < LEAST_TEXTS)
     kept = ~F.col("base_failed") & F.col("in_band") & (unusual | fits)
     return measured.join(F.broadcast(_inner(measured)), "band", "left").select("row", *(n for n, _ in FIELDS), kept.alias("kept"))

@@ -71,14 +71,61 @@ def test_fertility(docs, empty):
     assert fertility.assess(empty).count() == 0
 
 
-def test_fertility_of_pieces():
-    encoding, single = fertility._encoder(fertility.VOCABULARY)
+def test_fertility_of_pieces(spark):
+    import pyarrow as pa
+    import sentencepiece
+
+    from orogrid.llm import _words
+
+    encoding = fertility._encoder(fertility.VOCABULARY)
     for text in ("word " * 50_000, "x  y z\n" * 20_000, "é" * 1000, "", "short one"):
         ids = encoding.encode_ordinary(text)
         counts = collections.Counter(ids)
         bits = -sum(v / len(ids) * math.log2(v / len(ids)) for v in counts.values()) if ids else 0
-        n, one, h = fertility._tokens(text, encoding, single)
-        assert (n, one) == (len(ids), sum(single[i] for i in ids)) and h == pytest.approx(bits, abs=1e-9)
+        n, h = fertility._tokens(text, encoding)
+        assert n == len(ids) and h == pytest.approx(bits, abs=1e-9)
+    p = sentencepiece.SentencePieceProcessor(model_file=fertility.PIECES)
+    texts = ["plain words here here", None, "", "𓀀𓀁 hieroglyphs 𓀀", "x" * 70_000, "naïve 日本語 テキスト"]
+    want = [(sum(len(p.encode(w[i : i + fertility.PIECE])) for w in words(t) for i in range(0, len(w), fertility.PIECE)), sum(p.is_byte(i) for w in words(t) for i in p.encode(w))) for t in texts]
+    got = []
+    for _, _, t in _words.texts(pa.array(texts)):
+        got += zip(*(x.tolist() for x in fertility._word_pieces(t, *fertility._processor(fertility.PIECES))), strict=True)
+    assert got == want and want[3][1] >= 12
+    # a script that the vocabulary lacks is measured, and rejected in a language that should not have it
+    rows = [(1, "𓀀𓀁𓀂 and then some english words follow in this text of more than ten words", "en"), (2, "some english words follow in this text of more than ten words here", "en")]
+    kept = {r.row.doc_id: (r.in_band, r.byte_share > 0) for r in fertility.assess(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert kept == {1: (False, True), 2: (True, False)}
+
+
+def test_verdicts_against_brute_force(spark):
+    """in_band and kept from the measures alone: outer bands, then medians and median deviations by language."""
+    import statistics
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = fertility.assess(docs).collect()
+    even = lambda r: r.token_entropy / math.log2(min(max(r.n_tokens, 2), 1000))
+    measures = {"chars_per_token": lambda r: r.chars_per_token, "chars_per_piece": lambda r: r.chars_per_piece, "byte_share": lambda r: r.byte_share, "evenness": even}
+    near = {}
+    for band in {r.band for r in rows}:
+        some = [r for r in rows if r.band == band and not r.base_failed]
+        for c, f in measures.items():
+            values = [math.floor(f(r) * 1000 + 0.5) / 1000 for r in some]
+            mid = statistics.median(values) if values else 0
+            near[band, c] = len(some), mid, statistics.median(math.floor(abs(f(r) - mid) * 1000 + 0.5) / 1000 for r in some) if some else 0
+    verdicts = collections.Counter()
+    for r in rows:
+        low, high, least, most, share, flat = fertility.BANDS[r.band]
+        inside = low <= r.chars_per_token <= high and least <= r.chars_per_piece <= most and r.byte_share <= share and r.token_entropy >= flat * math.log2(min(max(r.n_tokens, 2), 1000))
+        assert r.in_band == inside
+        fits = True
+        for c, f in measures.items():
+            below, above, floor = fertility.AROUND[c]
+            n, mid, dev = near[r.band, c]
+            off = (f(r) - mid) / max(dev * 1.4826, floor) / max(1, math.sqrt(fertility.FULL / max(r.n_tokens, 1)))
+            fits &= n < fertility.LEAST_TEXTS or ((below is None or off >= -below) and (above is None or off <= above))
+        assert r.kept == (not r.base_failed and inside and fits), r
+        verdicts[r.kept, r.base_failed] += 1
+    assert verdicts[True, False] and verdicts[False, True]
 
 
 def test_fertility_keeps_clean_and_drops_odd(spark):
