@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -87,7 +88,8 @@ def links(prints: DataFrame, bits: int, scratch: Scratch) -> DataFrame:
     choice of blocks, and pairs inside a bucket are verified. A bucket above BUCKET members (many
     variants of one text) is not expanded into pairs: two fingerprints differ in at most two bits
     exactly if they share a neighbour at one bit or less, so members of large buckets meet at the
-    least member of each shared neighbour, 65 rows for each.
+    least member of each shared neighbour, 65 rows for each; for one bit they are joined with their
+    64 neighbours.
     """
     if not 0 <= bits <= 2:
         raise ValueError("bits: 0 to 2")
@@ -99,11 +101,14 @@ def links(prints: DataFrame, bits: int, scratch: Scratch) -> DataFrame:
     few = placed.where(F.col("n") <= BUCKET)
     one, two = few.select("t", "k", F.col("f").alias("a")), few.select("t", "k", F.col("f").alias("b"))
     close = one.join(two, ["t", "k"]).where("a < b").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits).select("a", "b")
+    if not bits:
+        return close.limit(0)
     flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)])
-    if bits < 2:
-        return close if bits else close.limit(0)
     many = placed.where(F.col("n") > BUCKET).select("f").distinct()
     near = many.select("f", F.explode(flips).alias("x")).select("f", F.col("f").bitwiseXOR(F.col("x")).alias("c"))
+    if bits == 1:
+        # one bit apart: one is the other with that bit turned over
+        return close.union(near.where("f < c").join(many.select(F.col("f").alias("c")), "c").select(F.col("f").alias("a"), F.col("c").alias("b"))).distinct()
     centre = near.groupBy("c").agg(F.min("f").alias("a"), F.max("f").alias("z")).where("a < z")
     return close.union(near.join(centre, "c").where("f <> a").select("a", F.col("f").alias("b"))).distinct()
 
@@ -129,6 +134,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, bits: int = 2, id_col: str
 
 #: Words of the parity sketch that rules pairs out before their shingles are read.
 SKETCH = 4
+#: Parts in which the buckets of `similar_documents` are made, so that the shuffle of one part alone is on disk at a time.
+PARTS = 4
 #: Shingles of one chunk of a large bucket (a task holds two), and texts of it that are compared in one matrix product.
 CHUNK, BLOCK = 400_000, 128
 
@@ -197,28 +204,39 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
     least = scratch.keep(sketches.groupBy("h0", "h1").agg(F.min(F.struct("id", "at")).alias("first")), "distinct")
     copies = sketches.select("id", "h0", "h1").join(least, ["h0", "h1"]).where(F.col("id") != F.col("first.id"))
     copies = scratch.keep(copies.select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct(), "copies")
-    left = sketches.join(least.select(F.col("first.at").alias("at")), "at", "left_semi")
-    keyed = left.select("id", "n", F.posexplode("prefix").alias("pos", "key"))
-    sizes = scratch.keep(keyed.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("lead")).where("m > 1"), "sizes")
-    placed = scratch.keep(keyed.join(sizes, "key"), "placed")
-    few, many = placed.where(F.col("m") <= BUCKET), placed.where(F.col("m") > BUCKET)
-    side = lambda s: few.select("key", F.col("id").alias(s), F.col("n").alias(f"{s}_n"), (F.col("n") - F.col("pos")).alias(f"{s}_rest"))
-    # of the first shingle that two sets share, no more follow than the shorter rest has
-    room = F.least("a_rest", "b_rest") * (1 + similarity) + 1e-6 >= similarity * (F.col("a_n") + F.col("b_n"))
-    pairs = side("a").join(side("b"), "key").where("a < b").where(room).select("a", "b")
-    pairs = pairs.union(many.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b"))).distinct()
+    left = scratch.keep(sketches.join(least.select(F.col("first.at").alias("at")), "at", "left_semi"), "left")
+    scratch.drop("sketches", "distinct")
+    parts = [_bucket_pairs(left.select("id", "n", F.posexplode("prefix").alias("pos", "key")).where(F.pmod("key", F.lit(PARTS)) == k), similarity, scratch, str(k)) for k in range(PARTS)]
+    pairs, many = (scratch.keep(reduce(DataFrame.union, side).distinct(), name) for side, name in zip(zip(*parts, strict=True), ("pairs", "many"), strict=True))
+    scratch.drop(*(f"{name}-{k}" for k in range(PARTS) for name in ("pairs", "many")))
     found = copies.union(scratch.keep(_verified(pairs, left, docs, words, similarity, id_col, text_col, scratch), "links"))
+    scratch.drop("pairs", "left", "near", "wanted", "sets")
     roots = scratch.keep(components(found, scratch), "roots")
-    named = many.select("key", "id").join(roots, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    named = many.join(roots, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("root", "id").alias("root"))
     apart = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
     open_ = scratch.keep(named.join(apart, "key").select("id", "root").distinct(), "open")
-    scratch.drop("sizes", "placed", "sketches", "near", "wanted", "sets")
     if open_.limit(1).count():
         more = scratch.keep(_dense_links(open_, docs, words, similarity, id_col, text_col, scratch), "more")
         roots = scratch.keep(components(found.union(more), scratch), "all-roots")
+    scratch.drop(*(n for n in tuple(scratch.made) if n not in ("roots", "all-roots")))
     return roots.where("node <> root").select(F.col("node").alias("id"), F.col("root").alias("first"))
 
 
+def _bucket_pairs(keyed: DataFrame, similarity: float, scratch: Scratch, tag: str) -> tuple[DataFrame, DataFrame]:
+    """Of keyed(id, n, pos, key): pairs (a, b) of buckets that may be similar, and (key, id) of large buckets."""
+    sizes = scratch.keep(keyed.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("lead")).where("m > 1"), f"sizes-{tag}")
+    placed = scratch.keep(keyed.join(sizes, "key"), f"placed-{tag}")
+    few, many = placed.where(F.col("m") <= BUCKET), placed.where(F.col("m") > BUCKET)
+    side = lambda s: few.select("key", F.col("id").alias(s), F.col("n").alias(f"{s}_n"), (F.col("n") - F.col("pos")).alias(f"{s}_rest"))
+    # of the first shingle that two sets share, no more follow than the shorter rest has
+    room = F.least("a_rest", "b_rest") * (1 + similarity) + 1e-6 >= similarity * (F.col("a_n") + F.col("b_n"))
+    pairs = side("a").join(side("b"), "key").where("a < b").where(room).select("a", "b")
+    pairs = scratch.keep(pairs.union(many.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b"))).distinct(), f"pairs-{tag}")
+    many = scratch.keep(many.select("key", "id"), f"many-{tag}")
+    scratch.drop(f"sizes-{tag}", f"placed-{tag}")
+    return pairs, many
+
+
 def _least_shared(n: Column, similarity: float) -> Column:
     """Shingles of a set of n that any set at `similarity` or more to it has as well."""
     return F.ceil(n * F.lit(similarity) - F.lit(1e-6))

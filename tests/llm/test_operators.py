@@ -501,6 +501,7 @@ def test_links_lose_none(spark, bits):
         for _ in range(6):
             values.add(c ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)))
     values |= {centre[0] ^ (1 << a) ^ (1 << b) for a in range(16) for b in range(16)}  # a bucket far above BUCKET
+    values |= {centre[1] ^ (1 << a) for a in range(64)} | {centre[2] ^ (1 << a) ^ (1 << 63) for a in range(3, 60)}  # members one bit apart, and two
     values = sorted(values)
     parent = {v: v for v in values}
 
