@@ -134,8 +134,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, bits: int = 2, id_col: str
 
 #: Words of the parity sketch that rules pairs out before their shingles are read.
 SKETCH = 4
-#: Parts in which the buckets of `similar_documents` are made, so that the shuffle of one part alone is on disk at a time.
+#: Parts in which the buckets of `similar_documents` are made and its pairs compared, so that the shuffle of one part alone is on disk.
 PARTS = 4
+#: Ids up to which a list of them is broadcast (under 100 bytes each); a longer one is shuffled.
+BROADCAST_IDS = 1_000_000
 #: Shingles of one chunk of a large bucket (a task holds two), and texts of it that are compared in one matrix product.
 CHUNK, BLOCK = 400_000, 128
 
@@ -210,7 +212,7 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
     pairs, many = (scratch.keep(reduce(DataFrame.union, side).distinct(), name) for side, name in zip(zip(*parts, strict=True), ("pairs", "many"), strict=True))
     scratch.drop(*(f"{name}-{k}" for k in range(PARTS) for name in ("pairs", "many")))
     found = copies.union(scratch.keep(_verified(pairs, left, docs, words, similarity, id_col, text_col, scratch), "links"))
-    scratch.drop("pairs", "left", "near", "wanted", "sets")
+    scratch.drop("near", "wanted", "sets", "first", "rest", "least-roots")
     roots = scratch.keep(components(found, scratch), "roots")
     named = many.join(roots, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("root", "id").alias("root"))
     apart = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
@@ -320,16 +322,39 @@ def _alike(x: str, y: str, similarity: float) -> Column:
 
 
 def _verified(pairs: DataFrame, left: DataFrame, docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str, scratch: Scratch) -> DataFrame:
+    """Links (a, b) that connect what the similar ones of these pairs connect.
+
+    Each text is held against its least candidate first. Pairs that the links so found connect already are
+    not read again, so that a group of variants costs about as many comparisons as it has texts."""
     side = lambda s: left.select(F.col("id").alias(s), F.col("n").alias(f"{s}_n"), *[F.col(f"s{k}").alias(f"{s}{k}") for k in range(SKETCH)])
     odd = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(SKETCH)), F.lit(0))
     # sets at this similarity differ in no more than that part of their shingles
     close = odd <= (F.col("a_n") + F.col("b_n")) * F.lit((1 - similarity) / (1 + similarity)) + 1e-6
     near = scratch.keep(pairs.join(side("a"), "a").join(side("b"), "b").where(close).select("a", "b").distinct(), "near")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("__wanted")).distinct()
-    sets = _shingle_hashes(docs.join(scratch.keep(wanted, "wanted"), F.col(id_col) == F.col("__wanted"), "left_semi").select(id_col, text_col), words, id_col, text_col)
-    sets = scratch.keep(sets, "sets")
-    both = near.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-    return both.where(_alike("x", "y", similarity)).select("a", "b")
+    scratch.drop("left", "pairs")
+    wanted = scratch.keep(near.select(F.explode(F.array("a", "b")).alias("__wanted")).distinct(), "wanted")
+    few = F.broadcast if wanted.count() <= BROADCAST_IDS else lambda df: df
+    texts = docs.join(few(wanted), F.col(id_col) == F.col("__wanted"), "left_semi").select(id_col, text_col)
+    sets = scratch.keep(_shingle_hashes(texts, words, id_col, text_col), "sets")
+    first = scratch.keep(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
+    links = _alike_pairs(first, sets, similarity, scratch, "least")
+    roots = scratch.keep(components(links, scratch), "least-roots")
+    rest = near.join(first, ["a", "b"], "left_anti")
+    for end in ("a", "b"):
+        rest = rest.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
+    rest = rest.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+    return links.union(_alike_pairs(scratch.keep(rest, "rest"), sets, similarity, scratch, "more"))
+
+
+def _alike_pairs(pairs: DataFrame, sets: DataFrame, similarity: float, scratch: Scratch, tag: str) -> DataFrame:
+    """The pairs (a, b) whose shingles are similar, in PARTS parts by b, so that the shingles of one part alone are on disk twice."""
+    parts = []
+    for k in range(PARTS):
+        mine = lambda c: F.pmod(F.xxhash64(c), F.lit(PARTS)) == k  # noqa: B023, E731
+        both = pairs.where(mine("b")).join(sets.where(mine("id")).select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
+        both = both.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
+        parts.append(scratch.keep(both.where(_alike("x", "y", similarity)).select("a", "b"), f"{tag}-{k}"))
+    return reduce(DataFrame.union, parts)
 
 
 def keep_first(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
