@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orogrid.llm._shared import offsets
+
 #: What marks the turns of each role in the formatted text. Other roles: <<=role>> and <</=>>.
 OPEN = {"user": "[INST]", "assistant": "<s>", "system": "<<SYS>>"}
 CLOSE = {"user": "[/INST]", "assistant": "</s>", "system": "<</SYS>>"}
@@ -67,15 +69,9 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     # where each text begins: lengths of all that stands before it
     pieces = F.flatten(F.transform("blocks", lambda b: F.transform(b["texts"], lambda t, k: F.struct((F.when(k == 0, F.length(head(b))).otherwise(len(JOIN))).alias("before"), F.length(t).alias("length"), (F.when(k == F.size(b["texts"]) - 1, F.length(tail(b))).otherwise(0)).alias("after"), (b["role"] == TRAINED).alias("trained")))))
     chats = chats.select("conv_id", formatted.alias("formatted"), pieces.alias("pieces"))
-    empty = F.array().cast("array<struct<start:int,length:int>>")
-    spans = F.aggregate(
-        "pieces",
-        F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-        lambda a, p: F.struct(
-            (a["at"] + p["before"] + p["length"] + p["after"]).alias("at"),
-            F.when(p["trained"], F.array_append(a["spans"], F.struct((a["at"] + p["before"]).alias("start"), p["length"].alias("length")))).otherwise(a["spans"]).alias("spans"),
-        ),
-    )["spans"]
+    chats = chats.withColumn("at", offsets(F.transform("pieces", lambda p: p["before"] + p["length"] + p["after"])))
+    spans = F.zip_with("pieces", "at", lambda p, at: F.struct(p["trained"].alias("trained"), (at + p["before"]).alias("start"), p["length"].alias("length")))
+    spans = F.transform(F.filter(spans, lambda x: x["trained"]), lambda x: F.struct(x["start"], x["length"]))
     return chats.select("conv_id", "formatted", spans.alias("mask"))
 
 

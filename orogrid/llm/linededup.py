@@ -130,9 +130,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         told.hint("merge").alias("t"), F.col("d.doc").eqNullSafe(F.col("t.doc")) & (F.col("d.row") == F.col("t.row")), "left"
     )
     lines = F.split("text", "\n", -1)
-    flagged = F.transform(lines, lambda x, i: F.struct(x.alias("line"), (F.array_contains("firsts", i) | (_count(_plain(x)) < least_words)).alias("stays")))
+
+    def kept(all_: Column) -> Column:
+        """The lines that stay, by a hashed intersection of line numbers."""
+        numbers = F.transform(all_, lambda x, i: i)
+        short = F.filter(F.transform(all_, lambda x, i: F.when(_count(_plain(x)) < least_words, i)), lambda i: i.isNotNull())
+        return F.transform(F.array_intersect(numbers, F.concat("firsts", short)), lambda i: F.get(all_, i))
+
     out = out.select("columns", F.col("d.text").alias("text"), F.coalesce("firsts", F.array().cast("array<int>")).alias("firsts"), F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"))
-    out = out.withColumn("kept", F.filter(flagged, lambda x: x["stays"])).withColumn("n", F.coalesce(F.size(lines), F.lit(0)))
+    # an array of one holds the lines, so that the text is split once
+    out = out.withColumn("kept", F.get(F.transform(F.array(lines), kept), 0)).withColumn("n", F.coalesce(F.size(lines), F.lit(0)))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
     n_kept = F.when(F.col("text").isNull(), 0).otherwise(F.size("kept")).cast("long")
-    return out.select(F.col("columns").alias("row"), F.array_join(F.transform("kept", lambda x: x["line"]), "\n").alias("text"), n_lines.alias("n_lines"), (n_lines - n_kept).alias("n_dropped"), "n_near", F.coalesce(F.size("firsts"), F.lit(0)).cast("long").alias("n_left"))
+    return out.select(F.col("columns").alias("row"), F.array_join("kept", "\n").alias("text"), n_lines.alias("n_lines"), (n_lines - n_kept).alias("n_dropped"), "n_near", F.coalesce(F.size("firsts"), F.lit(0)).cast("long").alias("n_left"))

@@ -33,21 +33,22 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     """Writes a transaction of three records for every row as WARC files under path, gzipped, one for each partition.
 
     Of rows with equal payloads of at least `least` bytes, those with the largest id become
-    responses, the others revisits without a payload; equality is that of SHA-1 and length. A null
-    payload is empty, a null URL an empty header. Rows with a null id are responses. Repeated rows
-    are written as often as they occur, with the same record ids.
+    responses, the others revisits without a payload, which refer to the record of a response; equality
+    is that of SHA-1 and length. A null payload is empty, a null URL an empty header and a request for
+    /. Rows with a null id are responses. Repeated rows are written as often as they occur, with the
+    same record ids.
     """
     page = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(body_col).cast("string"), F.lit("")).alias("body"))
     page = page.withColumn("digest", F.sha1(F.col("body").cast("binary"))).withColumn("bytes", F.octet_length("body").cast("long"))
-    groups = pages.select(F.col(id_col).alias("id"), F.coalesce(F.col(body_col).cast("string"), F.lit("")).cast("binary").alias("body")).where(F.octet_length("body") >= least)
-    groups = groups.groupBy(F.sha1("body").alias("digest"), F.octet_length("body").cast("long").alias("bytes")).agg(F.max("id").alias("whole"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # a capture is named by its id and, since ids may repeat, by its url and payload
+    name = F.concat_ws("-", F.coalesce(F.col("id").cast("string"), F.lit("null")), F.hex(F.xxhash64("url", "digest")))
+    groups = page.where(F.col("bytes") >= least).select("digest", "bytes", F.when(F.col("id").isNotNull(), F.struct("id", name.alias("name"))).alias("one"))
+    groups = groups.groupBy("digest", "bytes").agg(F.max("one").alias("one"), F.count("*").alias("n")).where("n > 1").select("digest", "bytes", F.col("one.id").alias("whole"), F.col("one.name").alias("whole_name"))
     scratch = Scratch(pages.sparkSession)
     groups = scratch.keep(groups, "groups")
     page = page.join(groups, ["digest", "bytes"], "left")
     again = F.coalesce(F.col("whole") != F.col("id"), F.lit(False))
-    urn = lambda kind, x: F.concat(F.lit(f"<urn:capture:{kind}:"), F.coalesce(x.cast("string"), F.lit("null")), F.lit(">"))
-    # a capture is named by its id and, since ids may repeat, by its url and payload
-    name = F.concat_ws("-", F.coalesce(F.col("id").cast("string"), F.lit("null")), F.hex(F.xxhash64("url", "digest")))
+    urn = lambda kind, x: F.concat(F.lit(f"<urn:capture:{kind}:"), x, F.lit(">"))
     digest = F.concat(F.lit("sha1:"), F.col("digest"))
     http = F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: ")
     head = F.concat(http, F.col("bytes").cast("string"), F.lit(_END))
@@ -58,12 +59,15 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         [
             *common(F.when(again, F.lit("WARC-Type: revisit")).otherwise(F.lit("WARC-Type: response")), urn("response", name)),
             _field("WARC-Payload-Digest", digest),
-            F.when(again, F.concat(F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\nWARC-Refers-To: "), F.concat(F.lit("<urn:capture:page:"), F.col("whole").cast("string"), F.lit(">")))).otherwise(F.lit("WARC-Truncated: ")),
-            "Content-Type: application/http; msgtype=response",
+            F.concat(F.when(again, F.concat(F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\nWARC-Refers-To: "), urn("response", F.col("whole_name")), F.lit("\r\n"))).otherwise(""), F.lit("Content-Type: application/http; msgtype=response")),
         ],
         block,
     )
-    request = record([*common("request", urn("request", name)), _field("WARC-Concurrent-To", urn("response", name)), "Content-Type: application/http; msgtype=request"], F.lit("GET / HTTP/1.1" + _END))
+    url = F.translate(F.coalesce("url", F.lit("")), "\r\n ", "+++")
+    host, target = F.regexp_extract(url, r"^[^/?#]*://([^/?#]*)", 1), F.regexp_extract(url, r"^[^/?#]*://[^/?#]*([^#]*)", 1)
+    target = F.when(F.startswith(target, F.lit("/")), target).otherwise(F.concat(F.lit("/"), target))
+    ask = F.concat(F.lit("GET "), target, F.lit(" HTTP/1.1\r\nHost: "), host, F.lit(_END))
+    request = record([*common("request", urn("request", name)), _field("WARC-Concurrent-To", urn("response", name)), "Content-Type: application/http; msgtype=request"], ask)
     meta = F.concat(F.lit("capture: "), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit("\r\nlength: "), F.col("bytes").cast("string"), F.lit("\r\n"))
     metadata = record([*common("metadata", urn("metadata", name)), _field("WARC-Concurrent-To", urn("response", name)), "Content-Type: application/warc-fields"], meta)
     info = F.concat(request, F.lit(_END), response, F.lit(_END), metadata).alias("value")
@@ -111,15 +115,21 @@ def _records(with_payload: bool):
 
         # pieces between CRLFCRLF arrive in order: first a head, then pieces until its length is full
         for batch in batches:
-            for path, piece in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for path, piece, part in zip(*(batch.column(c).to_pylist() for c in ("path", "piece", "part")), strict=True):
+                if part:
+                    raise ValueError(f"{path} is split between tasks: gzip it, or set spark.sql.files.maxPartitionBytes above its size")
                 if path != file:
+                    if need is not None:
+                        raise ValueError(f"{file} ends within a record")
                     file, parts, need = path, [], None
                 if need is None:
                     piece = piece.lstrip(b"\r\n") if not piece.startswith(b"WARC/") else piece
                     if not piece.startswith(b"WARC/"):
                         continue
                     found = _LENGTH.search(piece)
-                    head, need, have = piece, int(found[1]) if found else 0, -4
+                    if not found:
+                        raise ValueError(f"{file} has a record without its length, or ends within a record")
+                    head, need, have = piece, int(found[1]), -4
                     if need == 0:
                         out.append(build(head, b""))
                         need = None
@@ -134,6 +144,8 @@ def _records(with_payload: bool):
                 if size > 1 << 23 or len(out) >= 5000:
                     yield pack()
                     out, size = [], 0
+        if need is not None:
+            raise ValueError(f"{file} ends within a record")
         if out:
             yield pack()
 
@@ -144,12 +156,21 @@ def read_records(spark: SparkSession, path: str, payload: bool = True) -> DataFr
     """All records of the WARC files under path: headers, HTTP head, payload (payload=False: only that of metadata), its length and SHA-1.
 
     Files stream through any store that Spark reads, one record in memory at a time; contents are
-    delimited by their length only, so they may hold anything. A gzipped file is read by one task.
+    delimited by their length only, so they may hold anything. A file is read by one task, as only its
+    start tells where records begin: a file that Spark would split (not compressed, and longer than a
+    partition) and one that ends within a record raise an error.
     """
-    pieces = spark.read.option("lineSep", _END).text(path).select(F.col("_metadata.file_path"), F.col("value").cast("binary"))
+    meta = F.col("_metadata")
+    part = ~meta["file_path"].rlike(r"\.(gz|bz2)$") & (meta["file_block_length"] < meta["file_size"])
+    pieces = spark.read.option("lineSep", _END).text(path).select(meta["file_path"].alias("path"), F.col("value").cast("binary").alias("piece"), part.alias("part"))
     return pieces.mapInArrow(_records(payload), SCHEMA)
 
 
+def _told(records: DataFrame, kind: str) -> DataFrame:
+    part = records.where(F.col("type") == kind).where("concurrent_to is not null").groupBy(F.col("concurrent_to").alias("record_id"))
+    return part.agg(F.min(F.struct("http_head", "payload", F.col("record_id").alias("id"))).alias(kind))
+
+
 def assemble(records: DataFrame) -> DataFrame:
     """One row for each response or revisit: its record's columns, request and metadata as structs.
 
@@ -159,8 +180,7 @@ def assemble(records: DataFrame) -> DataFrame:
     """
     main = records.where("type in ('response', 'revisit')").drop("concurrent_to")
     for kind in ("request", "metadata"):
-        part = records.where(F.col("type") == kind).where("concurrent_to is not null").groupBy(F.col("concurrent_to").alias("record_id")).agg(F.min(F.struct("http_head", "payload", F.col("record_id").alias("id"))).alias(kind))
-        main = main.join(part, "record_id", "left")
+        main = main.join(_told(records, kind), "record_id", "left")
     return main
 
 
@@ -168,7 +188,8 @@ def captures(pages: DataFrame, path: str | None = None, payload: bool = False, *
     """Writes pages as archives, reads them back and returns (capture, payload_bytes, payload_digest, record_type, refers_to, ...).
 
     Length and digest of a response are those of the payload read; a revisit has those that its
-    metadata record and digest header tell. capture and refers_to are ids as text.
+    metadata record and digest header tell. capture and refers_to are ids as text; refers_to is that of
+    the capture whose record a revisit refers to, null if the archives don't hold it.
     """
     spark = pages.sparkSession
     path = path or f"{Scratch(spark).base}/warc"
@@ -178,7 +199,10 @@ def captures(pages: DataFrame, path: str | None = None, payload: bool = False, *
     capture = F.nullif(F.regexp_extract(told, r"(?m)^capture: (.*?)\r?$", 1), F.lit(""))
     length = F.regexp_extract(told, r"(?m)^length: ([0-9]+)\r?$", 1).cast("long")
     full = F.col("type") == "response"
+    rows = rows.withColumn("_to", F.coalesce("refers_to", "record_id"))  # a record that refers to none stands for itself, so that no null is a hot key
+    named = _told(read_records(spark, path, False), "metadata").select(F.col("record_id").alias("_to"), capture.alias("_whole"))
+    rows = rows.join(named, "_to", "left")
     return rows.select(
         capture.alias("capture"), F.when(full, F.col("payload_bytes")).otherwise(length).alias("payload_bytes"), F.when(full, F.col("payload_digest")).otherwise(F.col("digest")).alias("payload_digest"),
-        F.col("type").alias("record_type"), F.regexp_extract("refers_to", r"^<urn:capture:page:(.*)>$", 1).alias("refers_to"), "target_uri", "http_head", "payload", "request", "metadata",
+        F.col("type").alias("record_type"), F.when(F.col("refers_to").isNotNull(), F.col("_whole")).alias("refers_to"), "target_uri", "http_head", "payload", "request", "metadata",
     )

@@ -474,6 +474,34 @@ def test_archives(spark):
     assert warc.captures(df.limit(0)).count() == 0
 
 
+def test_archives_are_whole(spark, tmp_path):
+    rows = [(i, f"http://h{i}.net/p?q={i}#x", "y" * 1200 if i < 5 else f"page {i}") for i in range(30)] + [(None, None, "y" * 1200), (None, "u", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = warc.captures(df, path=str(tmp_path / "a")).collect()
+    assert len(got) == 32
+    assert sorted((r.capture, r.refers_to) for r in got if r.record_type == "revisit") == [(str(i), "4") for i in range(4)]
+    records = warc.read_records(spark, str(tmp_path / "a")).collect()
+    ids = {r.record_id for r in records if r.type == "response"}
+    assert {r.refers_to for r in records if r.type == "revisit"} <= ids  # a real record
+    assert b"GET /p?q=7 HTTP/1.1\r\nHost: h7.net" in {bytes(r.http_head) for r in records if r.type == "request"}
+    import gzip
+
+    (packed,) = (tmp_path / "a").glob("*.gz")
+    data = gzip.decompress(packed.read_bytes())
+    plain, torn = tmp_path / "plain.warc", tmp_path / "torn.warc.gz"
+    plain.write_bytes(data)
+    torn.write_bytes(gzip.compress(data[: len(data) // 2]))
+    assert warc.read_records(spark, str(plain)).count() == len(records)  # not compressed, in one piece
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 4000)
+    try:
+        with pytest.raises(Exception, match="is split between tasks"):
+            warc.read_records(spark, str(plain)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    with pytest.raises(Exception, match="ends within a record"):
+        warc.read_records(spark, str(torn)).collect()
+
+
 # 9
 
 
