@@ -30,7 +30,7 @@ def op3_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.find(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     counts = [pii.count(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS]
-    return out.select("row.doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+    return out.select("row.doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_found"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -284,11 +284,59 @@ def test_contexts_discover_unseen_identifiers(spark):
     card = lambda i: next(f"{4000000000000000 + i * 10 + c}" for c in range(10) if luhn(f"{4000000000000000 + i * 10 + c}"))
     rows = [(i, f"he paid by card number {card(i)} at noon") for i in range(40)]
     rows += [(100, "she paid by card number 4000000000000001 too"), (101, "the year was 1999 and page number 4000000000000001 missing"), (102, "nothing here")]
-    got = {r.row.doc_id: pii.listed for r in []} or {r.doc_id: r.s for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).select("row.doc_id", pii.listed(F.col("spans")).alias("s")).collect()}
+    got = {r.doc_id: r.s for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).select("row.doc_id", pii.listed(F.col("spans")).alias("s")).collect()}
     assert got[100] == "card:24:40"  # fails Luhn, found by its context
     assert got[101] == "" and got[102] == "" and got[0].startswith("card:23")
 
 
+def test_patterns_find_planted_identifiers(spark):
+    """Precision and recall on planted identifiers that the forms miss, among numbers that are none."""
+    import random
+
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8)))
+    phone = lambda: f"+1 ({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)}"
+    token = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    card = lambda: "".join(rng.choice("0123456789") for _ in range(16))
+    rows, planted = [], {}
+    for i in range(300):
+        words = [word() for _ in range(20)]
+        if i % 3 == 0:
+            words.insert(5, phone())
+        if i % 3 == 1:
+            words.insert(8, f'token = "{token()}"')
+        if i % 4 == 0:
+            words.insert(12, card())  # nearly all fail the check of digits
+        if i % 5 == 0:
+            words.insert(3, f"page {rng.randint(1, 400)} of version {rng.randint(1, 9)}.{rng.randint(0, 9)}")
+        hidden = None
+        if i % 150 == 3:
+            hidden = ("phone", phone())
+            words.insert(15, f"{hidden[1]} 10.{rng.randint(100, 255)}.{rng.randint(100, 255)}.1")  # the form runs on into the address
+        if i % 30 == 4:
+            hidden = ("secret", token().upper())
+            words.insert(15, f'TOKEN = "{hidden[1]}"!!')
+        text = " ".join(words)
+        if hidden:
+            planted[i] = f"{hidden[0]}:{text.index(hidden[1])}:{text.index(hidden[1]) + len(hidden[1])}"
+        rows.append((i, text))
+    out = pii.find(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).select("row.doc_id", pii.listed(F.col("base")).alias("base"), pii.listed(F.col("spans")).alias("spans")).collect()
+    new = {(r.doc_id, s) for r in out for s in set(r.spans.split(",")) - set(r.base.split(",")) if s}
+    phones = {(i, s) for i, s in planted.items()}
+    assert len(phones) == 12 and phones <= new  # recall 1
+    extra = new - phones
+    assert all(s.startswith("secret") for _, s in extra)  # the quoted seeds themselves; no number is taken for an identifier
+    assert len(extra) == sum("token = " in t for _, t in rows)
+
+
+def test_offsets(spark):
+    from orogrid.llm._shared import offsets
+
+    rows = [(list(range(n)),) for n in (0, 1, 2, 3, 10, 101)]
+    got = spark.createDataFrame(rows, "x array<int>").select("x", offsets(F.col("x")).alias("y")).collect()
+    assert all(r.y == [sum(r.x[:k]) for k in range(len(r.x))] for r in got)
+
+
 # 5
 
 
