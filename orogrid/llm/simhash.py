@@ -192,9 +192,9 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
 
     Exact but for equal hashes of shingles: two such sets share one of the first n less `_least_shared`
     plus one of either, in any order of all shingles. Here it is that of the hashes, so each text goes
-    to a bucket for each of its least hashes (a fifth of them at 0.8). Pairs go on if what follows the
-    shared one and the parity sketches (which differ in no more bits than the sets in shingles) allow
-    the similarity, and each is verified on the shingles. Large buckets (many variants of one text, or
+    to a bucket for each of its least hashes (a fifth of them at 0.8). Pairs go on if the buckets that
+    they share, what follows, and the parity sketches (which differ in no more bits than the sets in
+    shingles) allow the similarity, and each is verified on the shingles. Large buckets (many variants of one text, or
     a common passage) are first held against their least id only; members of those that this does not
     make one group are all compared with each other by `_dense_links`. A text that fell is compared like
     any other. Texts without words and rows without an id take no part; rows with one id are judged together.
@@ -209,9 +209,11 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
     left = scratch.keep(sketches.join(least.select(F.col("first.at").alias("at")), "at", "left_semi"), "left")
     scratch.drop("sketches", "distinct")
     parts = [_bucket_pairs(left.select("id", "n", F.posexplode("prefix").alias("pos", "key")).where(F.pmod("key", F.lit(PARTS)) == k), similarity, scratch, str(k)) for k in range(PARTS)]
-    pairs, many = (scratch.keep(reduce(DataFrame.union, side).distinct(), name) for side, name in zip(zip(*parts, strict=True), ("pairs", "many"), strict=True))
+    pairs, many = (reduce(DataFrame.union, side) for side in zip(*parts, strict=True))
+    pairs = scratch.keep(pairs.groupBy("a", "b").agg(F.sum("c").alias("c"), F.bool_or("room").alias("room")).where("room"), "pairs")
+    many = scratch.keep(many, "many")
     scratch.drop(*(f"{name}-{k}" for k in range(PARTS) for name in ("pairs", "many")))
-    found = copies.union(scratch.keep(_verified(pairs, left, docs, words, similarity, id_col, text_col, scratch), "links"))
+    found = copies.union(scratch.keep(_verified(pairs, left, many, docs, words, similarity, id_col, text_col, scratch), "links"))
     scratch.drop("near", "wanted", "sets", "first", "rest", "least-roots")
     roots = scratch.keep(components(found, scratch), "roots")
     named = many.join(roots, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("root", "id").alias("root"))
@@ -225,15 +227,18 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
 
 
 def _bucket_pairs(keyed: DataFrame, similarity: float, scratch: Scratch, tag: str) -> tuple[DataFrame, DataFrame]:
-    """Of keyed(id, n, pos, key): pairs (a, b) of buckets that may be similar, and (key, id) of large buckets."""
+    """Of keyed(id, n, pos, key): pairs (a, b, c, room) of texts in one bucket, and (key, id) of large buckets.
+
+    c: buckets of few that a pair shares; room: whether one of them could be the first shingle that two similar sets share."""
     sizes = scratch.keep(keyed.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("lead")).where("m > 1"), f"sizes-{tag}")
     placed = scratch.keep(keyed.join(sizes, "key"), f"placed-{tag}")
     few, many = placed.where(F.col("m") <= BUCKET), placed.where(F.col("m") > BUCKET)
     side = lambda s: few.select("key", F.col("id").alias(s), F.col("n").alias(f"{s}_n"), (F.col("n") - F.col("pos")).alias(f"{s}_rest"))
     # of the first shingle that two sets share, no more follow than the shorter rest has
     room = F.least("a_rest", "b_rest") * (1 + similarity) + 1e-6 >= similarity * (F.col("a_n") + F.col("b_n"))
-    pairs = side("a").join(side("b"), "key").where("a < b").where(room).select("a", "b")
-    pairs = scratch.keep(pairs.union(many.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b"))).distinct(), f"pairs-{tag}")
+    pairs = side("a").join(side("b"), "key").where("a < b").select("a", "b", F.lit(1).alias("c"), room.alias("room"))
+    pairs = pairs.union(many.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b"), F.lit(0), F.lit(True)))
+    pairs = scratch.keep(pairs.groupBy("a", "b").agg(F.sum("c").alias("c"), F.bool_or("room").alias("room")), f"pairs-{tag}")
     many = scratch.keep(many.select("key", "id"), f"many-{tag}")
     scratch.drop(f"sizes-{tag}", f"placed-{tag}")
     return pairs, many
@@ -321,16 +326,25 @@ def _alike(x: str, y: str, similarity: float) -> Column:
     return shared >= similarity * (F.size(x) + F.size(y) - shared)
 
 
-def _verified(pairs: DataFrame, left: DataFrame, docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str, scratch: Scratch) -> DataFrame:
+def _verified(pairs: DataFrame, left: DataFrame, many: DataFrame, docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str, scratch: Scratch) -> DataFrame:
     """Links (a, b) that connect what the similar ones of these pairs connect.
 
+    Of the shingles up to the end of the shorter prefix, two sets share the buckets that they share (those
+    of few are counted, of large ones each has a number); of what follows, no more than that set has. Pairs
+    for which this and the parity sketches leave the similarity possible are compared on their shingles.
     Each text is held against its least candidate first. Pairs that the links so found connect already are
     not read again, so that a group of variants costs about as many comparisons as it has texts."""
-    side = lambda s: left.select(F.col("id").alias(s), F.col("n").alias(f"{s}_n"), *[F.col(f"s{k}").alias(f"{s}{k}") for k in range(SKETCH)])
+    held = left.join(many.groupBy("id").agg(F.count("*").alias("large")), "id", "left").withColumns(
+        # the last hash of the prefix, in the unsigned order in which it was taken
+        {"large": F.coalesce("large", F.lit(0)), "end": F.element_at("prefix", -1).bitwiseXOR(F.lit(-(1 << 63)).cast("long")), "rest": F.col("n") - F.size("prefix")}
+    )
+    side = lambda s: held.select(F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("n", "large", "end", "rest")], *[F.col(f"s{k}").alias(f"{s}{k}") for k in range(SKETCH)])
+    after = F.when(F.col("a_end") <= F.col("b_end"), F.col("a_rest")).otherwise(F.col("b_rest"))
+    possible = F.col("c") + F.least("a_large", "b_large") + after + 1e-6 >= (F.col("a_n") + F.col("b_n")) * F.lit(similarity / (1 + similarity))
     odd = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(SKETCH)), F.lit(0))
     # sets at this similarity differ in no more than that part of their shingles
     close = odd <= (F.col("a_n") + F.col("b_n")) * F.lit((1 - similarity) / (1 + similarity)) + 1e-6
-    near = scratch.keep(pairs.join(side("a"), "a").join(side("b"), "b").where(close).select("a", "b").distinct(), "near")
+    near = scratch.keep(pairs.join(side("a"), "a").join(side("b"), "b").where(close & possible).select("a", "b").distinct(), "near")
     scratch.drop("left", "pairs")
     wanted = scratch.keep(near.select(F.explode(F.array("a", "b")).alias("__wanted")).distinct(), "wanted")
     few = F.broadcast if wanted.count() <= BROADCAST_IDS else lambda df: df
