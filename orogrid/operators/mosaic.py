@@ -99,17 +99,38 @@ def merge(strip: DataFrame, scene: DataFrame, weights: DataFrame, cut: int = 13)
 
 @dataclass
 class Segment:
+    """pixels, and a row for each scene: (scene, rmse, dz, dx, dy, state, dz_err, dx_err, dy_err)."""
+
     pixels: DataFrame
     alignment: list[tuple] = field(default_factory=list)
 
 
-def build_segments(scenes: DataFrame, order: list[str], cell: float = 1.0, rmse_cutoff: float = 3.5, least_new: int = 50_000, least_overlap: int = 1000) -> list[Segment]:
+def move_scene(scene: DataFrame, offset: tuple[float, float, float], cell: float, rim: int = 6) -> DataFrame:
+    """The scene (rid, r, c, z, m, o, md) by a registration (dz, dx, dy): heights linearly, intensities by cubic
+    convolution, matches and masks from the nearest pixel. Rims of heights and of intensities, on which pixels
+    without data bear, are eroded by `rim` pixels; matches go with the heights, masks are 0 where there is none."""
+    dense = grid.densify(scene)
+    dr, dc = -offset[2] / cell, offset[1] / cell
+    out = register.shifted(dense.select(*grid.KEY, "z"), offset, cell)
+    for band, method in (("m", "nearest"), ("o", "bicubic"), ("md", "nearest")):
+        value = F.col(band) if band != "o" else F.when(F.col("o") != 0, F.col("o").cast("double"))
+        out = out.join(resample.shift(dense.select(*grid.KEY, value.alias(band)), band, dr, dc, method), list(grid.KEY), "left")
+    for band in ("z", "o"):
+        out = focal.erode(out.withColumn(f"_{band}", F.col(band).isNotNull().cast("int")), f"_{band}", rim)
+    z, o = F.col("_z") > 0, F.col("_o") > 0
+    return out.select(
+        *grid.KEY, F.when(z, F.col("z")).alias("z"), F.when(z, F.coalesce(F.col("m"), F.lit(0))).otherwise(0).cast("int").alias("m"),
+        F.when(o, F.col("o")).alias("o"), F.coalesce(F.col("md"), F.lit(0)).cast("int").alias("md"),
+    )
+
+
+def build_segments(scenes: DataFrame, order: list[str], cell: float = 1.0, rmse_cutoff: float = 3.5, least_new: int = 50_000, least_overlap: int = 1000, rim: int = 6) -> list[Segment]:
     """Strip segments of the scenes (scene, r, c, z, m, o, md on one pixel grid) in the given order.
 
     A scene with fewer than least_new unmasked pixels, or that adds fewer, is skipped; one that
     overlaps too little or whose registration fails or exceeds the cutoff begins the next segment.
-    Each step writes its grid, so a lost executor costs one step. Segments of different strips are
-    independent jobs."""
+    Each step writes its grid, so a lost executor costs one step; the last one of every segment stays.
+    Segments of different strips are independent jobs."""
     keep = Rounds(scenes.sparkSession)
     segments: list[Segment] = []
     current: DataFrame | None = None
@@ -118,13 +139,13 @@ def build_segments(scenes: DataFrame, order: list[str], cell: float = 1.0, rmse_
         scene = scenes.where(F.col("scene") == name).select(F.lit(0).alias("rid"), "r", "c", "z", "m", "o", "md")
         good = scene.where("z is not null and coalesce(md, 0) = 0").count()
         if good < least_new:
-            rows.append((name, None, None, None, None, "skipped"))
+            rows.append((name, None, None, None, None, "skipped", None, None, None))
             continue
         if current is not None:
             pair = current.select(*grid.KEY, F.col("z").alias("_a")).join(scene.select(*grid.KEY, F.col("z").alias("_b")), list(grid.KEY), "full")
             told = pair.agg(F.count_if(F.col("_a").isNotNull() & F.col("_b").isNotNull()), F.count_if(F.col("_a").isNull() & F.col("_b").isNotNull())).first()
             if told[1] < least_new:
-                rows.append((name, None, None, None, None, "redundant"))
+                rows.append((name, None, None, None, None, "redundant", None, None, None))
                 continue
             done = None
             if told[0] >= least_overlap:
@@ -132,15 +153,15 @@ def build_segments(scenes: DataFrame, order: list[str], cell: float = 1.0, rmse_
             if done is None or done.offset is None or done.rmse > rmse_cutoff:
                 segments.append(Segment(current, rows))
                 current, rows = None, []
+                keep = Rounds(scenes.sparkSession)  # the tables of this segment are not the next one's to remove
             else:
-                moved = register.shifted(grid.densify(scene.select(*grid.KEY, "z")), done.offset, cell)
-                scene = scene.drop("z").join(moved, list(grid.KEY), "left")
+                scene = move_scene(scene, done.offset, cell, rim)
                 weights = feather_weights(grid.densify(overlap_classes(current, scene, least_overlap)).fillna(0, ["a"]))
                 current = keep.keep(grid.densify(merge(grid.densify(current), scene, weights)))
-                rows.append((name, done.rmse, *done.offset, "merged"))
+                rows.append((name, done.rmse, *done.offset, "merged", *(done.error or (None, None, None))))
                 continue
         current = keep.keep(grid.densify(scene))
-        rows.append((name, 0.0, 0.0, 0.0, 0.0, "first"))
+        rows.append((name, 0.0, 0.0, 0.0, 0.0, "first", 0.0, 0.0, 0.0))
     if current is not None:
         segments.append(Segment(current, rows))
     return segments

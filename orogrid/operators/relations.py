@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orogrid.functions import geo
 from orogrid.operators import grid
+from orogrid.plans.scratch import Rounds
 
 
 def stack_bands(bands: dict[str, DataFrame], how: str = "inner") -> DataFrame:
@@ -83,13 +84,18 @@ def common_prefix(a: DataFrame, b: DataFrame, keys: list[str], order: str, item:
 def numbered(df: DataFrame, order: list[str], per_task: int) -> DataFrame:
     """df with its number in the order and the task bundle of per_task rows that it belongs to.
 
-    Numbers come from counts by partition of a range-sorted copy, so no window holds all rows."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    ranged = ranged.withColumn("_k", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
+    Numbers come from counts by partition of a range-sorted copy, so no window holds all rows. The copy
+    with its partition and place is written first: both parts of the plan then see the same. Rows that
+    the order leaves equal are ordered by a hash of the whole row; repeated rows get numbers that follow
+    each other."""
+    whole = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    ranged = df.withColumn("_h", whole).repartitionByRange(*order, "_h").sortWithinPartitions(*order, "_h").withColumn("_p", F.spark_partition_id())
+    ranged = Rounds(df.sparkSession).keep(ranged)
+    ranged = ranged.withColumn("_k", F.row_number().over(Window.partitionBy("_p").orderBy(*order, "_h")))
     sizes = ranged.groupBy("_p").agg(F.count("*").alias("_n"))
     before = sizes.withColumn("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     at = F.col("_k") + F.col("_b") - 1
-    return ranged.join(F.broadcast(before), "_p").withColumns({"number": at, "task": F.floor(at / per_task)}).drop("_p", "_k", "_b")  # a row for each partition
+    return ranged.join(F.broadcast(before), "_p").withColumns({"number": at, "task": F.floor(at / per_task)}).drop("_p", "_k", "_b", "_h")  # a row for each partition
 
 
 def within(df: DataFrame, flag: Column) -> DataFrame:

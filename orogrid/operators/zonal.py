@@ -11,6 +11,9 @@ from orogrid.plans.scratch import Rounds
 #: Steps to half of the neighbours; the other half follow by symmetry.
 _HALF = {4: [(0, 1), (1, 0)], 8: [(0, 1), (1, 0), (1, 1), (1, -1)]}
 
+#: Rounds of `components`, about the logarithm of the longest path of runs; more raise an error rather than split components.
+MOST_ROUNDS = 60
+
 
 def _runs(df: DataFrame, flag: Column) -> DataFrame:
     """(rid, r, a, b): runs of set pixels within a row. A long feature is a few runs, so rounds work on far fewer rows."""
@@ -39,7 +42,7 @@ def components(df: DataFrame, flag: Column, connectivity: int = 8) -> DataFrame:
     loop = Rounds(df.sparkSession)
     edges = loop.keep(edges)
     last = None
-    while True:
+    for _ in range(MOST_ROUNDS):
         both = edges.select("rid", "u", "v").union(edges.select("rid", F.col("v"), F.col("u")))
         least = both.groupBy("rid", "u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, ["rid", "u"]).select("rid", F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -47,10 +50,12 @@ def components(df: DataFrame, flag: Column, connectivity: int = 8) -> DataFrame:
         small = large.join(low, ["rid", "u"])
         edges = small.where("v <> m").select("rid", F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("rid", "u", F.col("m").alias("v"))).distinct()
         edges = loop.keep(edges)
-        now = edges.agg(F.count("*"), F.sum((F.col("u") % 1000003 + F.col("v") % 999983).cast("decimal(38,0)"))).first()
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("rid", "u", "v").cast("decimal(38,0)"))).first()
         if now == last:
             break
         last = now
+    else:
+        raise RuntimeError(f"components: not finished after {MOST_ROUNDS} rounds")
     named = runs.join(edges.select("rid", F.col("u").alias("node"), F.col("v").alias("root")), ["rid", "node"], "left").withColumn("label", F.coalesce("root", "node"))
     sizes = named.groupBy("rid", "label").agg(F.sum(F.col("b") - F.col("a") + 1).alias("size"))
     named = named.join(sizes, ["rid", "label"])

@@ -249,3 +249,14 @@ def _(spark, d):
     for i, seg in enumerate(mosaic.build_segments(sc, ["s0", "s1"], 1.0, least_new=100, least_overlap=20)):
         rows += [(i, a[0], None if a[1] is None else round(a[1], 3), None if a[2] is None else round(a[2], 3), a[5]) for a in seg.alignment]
     return spark.createDataFrame(rows, "segment int, scene string, rmse double, dz double, state string")
+
+
+@query(
+    "mosaic_moved_scene",
+    """, s AS (SELECT a.r, a.c, b.z - 0.5::DOUBLE AS z, coalesce(b.m, 0) AS m, CASE WHEN x.o <> 0 THEN x.o END AS o FROM g a LEFT JOIN g b ON b.r = a.r + 1 AND b.c = a.c + 2 LEFT JOIN o x ON x.r = b.r AND x.c = b.c),
+    e AS (SELECT a.r, a.c, bool_and(b.z IS NOT NULL) AS zk, bool_and(b.o IS NOT NULL) AS ok FROM s a JOIN s b ON abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 GROUP BY a.r, a.c)
+    SELECT s.r, s.c, CASE WHEN zk THEN round(z, 6) END AS z, CASE WHEN zk THEN m ELSE 0 END AS m, CASE WHEN ok THEN CAST(o AS DOUBLE) END AS o, 0 AS md FROM s JOIN e USING (r, c)""",
+)
+def _(spark, d):
+    moved = mosaic.move_scene(scene(spark, d).select("rid", "r", "c", "z", "m", "o", F.lit(0).alias("md")), (0.5, 2.0, -1.0), 1.0, rim=3)
+    return moved.select(*KEY, F.round("z", 6).alias("z"), "m", F.col("o").cast("double").alias("o"), "md")

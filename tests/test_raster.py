@@ -324,3 +324,48 @@ def test_rescan_is_idempotent(spark, tmp_path):
     # a lost state folder reads all files again; the ledger keeps rows single
     rescan.start(spark, str(src), str(tmp_path / "ledger"), str(tmp_path / "state2"), look).awaitTermination()
     assert sorted(x.fname for x in spark.read.parquet(str(tmp_path / "ledger")).collect()) == ["a.txt", "b.txt", "c.txt"]
+
+
+def test_segments_stay_and_bands_move(spark):
+    """Two segments of two scenes each, the second of either off by part of a pixel; all are read at the end."""
+    from orogrid.operators import mosaic
+
+    rows = []
+    shape = lambda r, c: 10 * np.sin(r / 5.0) + 8 * np.cos(c / 6.0) + 3 * np.sin((r + c) / 9.0)
+    for name, r0, r1, base, dy, dx in (("a", 0, 40, 0, 0, 0), ("b", 20, 60, 0, 0.4, -0.3), ("c", 0, 40, 300, 0, 0), ("d", 20, 60, 300, -0.3, 0.4)):
+        rows += [(name, base + r, c, float(shape(r + dy, c + dx)), 1, 100.0 + r, 1 if (r + c) % 11 == 0 else 0) for r in range(r0, r1) for c in range(40)]
+    scenes = spark.createDataFrame(rows, "scene string, r int, c int, z double, m int, o double, md int")
+    segments = mosaic.build_segments(scenes, ["a", "b", "c", "d"], 1.0, least_new=100, least_overlap=50, rim=3)
+    assert [[x[0] for x in s.alignment] for s in segments] == [["a", "b"], ["c", "d"]]
+    for s, base, (dx, dy) in zip(segments, (0, 300), ((0.3, 0.4), (-0.4, -0.3)), strict=True):
+        moved = s.alignment[1]
+        assert moved[5] == "merged" and moved[3] == pytest.approx(dx, abs=0.1) and moved[4] == pytest.approx(dy, abs=0.1) and all(e is not None for e in moved[6:])
+        px = {(r.r - base, r.c): r for r in s.pixels.collect()}  # every segment's table is there
+        good = [(k, p) for k, p in px.items() if p.z is not None]
+        assert len(good) > 1500
+        assert np.median([abs(p.z - shape(*k)) for k, p in good]) < 0.1
+
+
+def test_moved_bands(spark):
+    from orogrid.operators import mosaic
+
+    rng = np.random.default_rng(2)
+    o, m, md = rng.integers(50, 90, (20, 24)).astype(float), rng.integers(0, 2, (20, 24)), rng.integers(0, 8, (20, 24))
+    rows = [(0, r, c, float(r + c), int(m[r, c]), float(o[r, c]), int(md[r, c])) for r in range(20) for c in range(24)]
+    got = {(r.r, r.c): r for r in mosaic.move_scene(spark.createDataFrame(rows, "rid int, r int, c int, z double, m int, o double, md int"), (0.0, 0.75, -0.25), 1.0, rim=3).collect()}
+    cubic = lambda t: [((-0.75 * d + 3.75) * d - 6) * d + 3 if d > 1 else (1.25 * d - 2.25) * d * d + 1 for d in (1 + t, t, 1 - t, 2 - t)]
+    for r in range(4, 15):
+        for c in range(4, 18):
+            assert got[r, c].md == md[r, c + 1] and got[r, c].m == m[r, c + 1]  # nearest of (0.25, 0.75)
+            assert got[r, c].z == pytest.approx(r + c + 1.0)
+            assert got[r, c].o == pytest.approx(np.array(cubic(0.25)) @ o[r - 1 : r + 3, c - 1 : c + 3] @ np.array(cubic(0.75)))
+    assert got[0, 23].z is None and got[0, 23].md == 0 and got[19, 23].o is None
+
+
+def test_numbers_are_a_row_of_numbers(spark):
+    from orogrid.operators import relations
+
+    df = spark.createDataFrame([(k % 7, str(k % 3)) for k in range(200)], "a int, b string").repartition(5)
+    got = relations.numbered(df, ["a"], 30).collect()
+    assert sorted(r.number for r in got) == list(range(200)) and all(r.task == r.number // 30 for r in got)
+    assert [r.a for r in sorted(got, key=lambda r: r.number)] == sorted(k % 7 for k in range(200))
