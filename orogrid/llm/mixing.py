@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +15,9 @@ from orogrid.llm._shared import Scratch
 
 #: Copies of a document that the mix may hold. The n-th copy costs n - 1 for each word.
 COPIES = 3
-#: Membership patterns (sets of sources that occur together) that the driver solves for, a few hundred bytes each.
-MOST_PATTERNS = 4_000
+#: Membership patterns (sets of sources that occur together) that the driver holds, a few hundred bytes each, and those
+#: among them that the flow may have: patterns whose sources no other pattern shares need none.
+MOST_PATTERNS, MOST_FLOW = 500_000, 4_000
 #: Bits of the seeded order settled in one pass over the numbers, and passes until single values are left.
 BITS, LEVELS = 12, 4
 
@@ -44,7 +46,8 @@ def water_fill(sizes: list[int], weights: list[float], copies: int = COPIES) ->
         if not full:
             break
         rest -= sum(targets[i] for i in full)
-        open_ = [i for i in open_ if i not in set(full)]
+        gone = set(full)
+        open_ = [i for i in open_ if i not in gone]
     return targets
 
 
@@ -102,6 +105,22 @@ def route(patterns: list[tuple[tuple[int, ...], int]], quotas: list[int], copies
     return [{j: cap[e ^ 1] for j, e in use.items()} for use in uses]
 
 
+def _flow(members: list[tuple[int, ...]], total: list[int], quotas: list[int], copies: int = COPIES) -> list[dict[int, int]]:
+    """As `route`, over those patterns alone whose sources several patterns share."""
+    uses = Counter(i for m in members for i in m)
+    alone = [len(m) == 1 and uses[m[0]] == 1 for m in members]
+    shared = [k for k, a in enumerate(alone) if not a]
+    if len(shared) > MOST_FLOW:
+        raise ValueError(f"over {MOST_FLOW} membership patterns with sources in common; group the sources first")
+    used = sorted({i for k in shared for i in members[k]})
+    number = {s: j for j, s in enumerate(used)}
+    routed = route([(tuple(number[i] for i in members[k]), total[k]) for k in shared], [quotas[i] for i in used], copies)
+    out = [{m[0]: min(quotas[m[0]], copies * n)} if a else {} for m, n, a in zip(members, total, alone, strict=True)]
+    for k, use in zip(shared, routed, strict=True):
+        out[k] = {used[j]: n for j, n in use.items()}
+    return out
+
+
 def _fill(rows: DataFrame, needs: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
     """(pid, below): rows with draw < below have at most need words together; found by LEVELS histogram passes.
 
@@ -131,7 +150,9 @@ def mix(sized: DataFrame, sources: Column, weights: list[float] | None = None, s
 
     sources: array of the sources that a row belongs to; rows that belong to the same ones form a
     pattern. Sources are ordered by code point, null last; weights go by that order and repeat
-    (default 1, 2, 3). The flow on patterns runs on the driver over at most MOST_PATTERNS numbers;
+    (default 1, 2, 3). The driver holds a few numbers for each pattern, at most MOST_PATTERNS; a pattern
+    of one source that no other pattern shares takes that source's target, and the flow runs on the
+    others, at most MOST_FLOW. More of either raise an error, as no document is left out silently;
     rows are then drawn in a seeded order of `key`, whole documents only: all get the full copies,
     some one more, and two further passes fill what is left with documents that fit. Rows of size 0 take 0. Equal rows are drawn alike up to their place in
     the order, which also depends on nothing but the row. No row: no result.
@@ -152,10 +173,13 @@ def mix(sized: DataFrame, sources: Column, weights: list[float] | None = None, s
     names = sorted({(m.none, m.name or "") for r in totals for m in r.pattern})
     number = {n: i for i, n in enumerate(names)}
     members = [tuple(number[m.none, m.name or ""] for m in r.pattern) for r in totals]
-    sizes = [sum(r.words for r, m in zip(totals, members, strict=True) if i in m) for i in range(len(names))]
     total = [r.words for r in totals]
+    sizes = [0] * len(names)
+    for m, words in zip(members, total, strict=True):
+        for i in m:
+            sizes[i] += words
     targets = water_fill(sizes, [weights[i % len(weights)] for i in range(len(names))])
-    flow = route(list(zip(members, total, strict=True)), [int(x) for x in targets])
+    flow = _flow(members, total, [int(x) for x in targets])
     plan = []
     for r, m, use in zip(totals, members, flow, strict=True):
         words = sum(use.values())

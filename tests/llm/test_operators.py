@@ -473,6 +473,30 @@ def test_flow_routes_overlapping_sources_at_least_cost():
     assert sum(max(0, t - s) for t, s in zip(taken, (100, 100, 50), strict=True)) == 50  # only what is lacking is repeated
 
 
+def test_flow_is_optimal_by_brute_force():
+    """The least repetition cost over all integer routings of small overlapping patterns, with as many words as can be routed."""
+    import itertools
+    import random
+
+    rng = random.Random(6)
+    for _ in range(25):
+        patterns = [((0,), rng.randint(0, 3)), ((1,), rng.randint(0, 3)), ((0, 1), rng.randint(0, 3))]
+        quotas = [rng.randint(0, 7), rng.randint(0, 7)]
+        cost = lambda n, size: sum((k // size if size else 0) for k in range(n))
+        best = None
+        for a, b, x, y in itertools.product(range(10), repeat=4):  # words of each pattern for each of its sources
+            if a > 3 * patterns[0][1] or b > 3 * patterns[1][1] or x + y > 3 * patterns[2][1] or a + x > quotas[0] or b + y > quotas[1]:
+                continue
+            value = (-(a + b + x + y), cost(a, patterns[0][1]) + cost(b, patterns[1][1]) + cost(x + y, patterns[2][1]))
+            best = min(best or value, value)
+        use = mixing._flow([m for m, _ in patterns], [n for _, n in patterns], quotas)
+        taken = [sum(u.values()) for u in use]
+        assert (-sum(taken), sum(cost(t, n) for t, (_, n) in zip(taken, patterns, strict=True))) == best
+        assert all(sum(u.get(j, 0) for u in use) <= q for j, q in enumerate(quotas))
+    many = mixing._flow([(i,) for i in range(20_000)], [10] * 20_000, [5, 40] * 10_000)  # sources on their own take no flow
+    assert many[0] == {0: 5} and many[1] == {1: 30}
+
+
 def test_mixture(spark, docs, empty):
     import random
 

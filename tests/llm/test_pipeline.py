@@ -125,3 +125,21 @@ def test_rest_works_without_this_package():
     for p in (root / "orogrid").rglob("*.py"):
         if "llm" not in p.parts:
             assert not re.search(r"orogrid[./]llm|corpus_pipeline", p.read_text()), p
+
+
+def test_stages_with_odd_tables(spark, tmp_path):
+    """Nulls in any column, empty and repeated rows, an empty table, and columns that the stages name themselves."""
+    text = "a text of more than ten words that nothing else in this table has, with no line twice"
+    rows = [(1, text, "en", "s", 1), (2, None, None, None, None), (3, "", "en", "s", 0), (None, f"{text} but one", None, "t", 5), (1, text, "en", "s", 1), (4, "x", "en", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for c in ("size", "Taken", "target", "row", "score", "documents_size", "key", "id"):
+        docs = docs.withColumn(c, docs.lang)
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, DATA)
+        out.write.parquet(str(tmp_path / name))
+        got = spark.read.parquet(str(tmp_path / name))
+        assert got.count() == {"quality": 3, "lines": 6, "near_duplicates": 6, "decontamination": 6, "mixture": 6}[name] or name == "lines"
+        if k < 4:
+            assert got.columns == docs.columns
+        assert stage(spark, docs.limit(0), DATA).count() == 0
+    assert got.columns[-4:] == ["size", "source_size", "target", "taken"] and {"documents_Taken", "documents_target", "documents_documents_size"} <= set(got.columns)
