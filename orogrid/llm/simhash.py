@@ -138,14 +138,15 @@ SKETCH = 4
 PARTS = 4
 #: Ids up to which a list of them is broadcast (under 100 bytes each); a longer one is shuffled.
 BROADCAST_IDS = 1_000_000
+#: Hashes of common shingles that are broadcast, at most (8 bytes each).
+COMMON = 1_000_000
 #: Shingles of one chunk of a large bucket (a task holds two), and texts of it that are compared in one matrix product.
 CHUNK, BLOCK = 400_000, 128
 
 
-def _sketches(docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """(id, h0, h1, n, s0, ..., prefix) of every row with a word: 128 bits of hash of its set of shingles, their number, a
-    parity sketch (each shingle turns one bit over), and the least shingle hashes in order: n less those that a
-    similar set must share, plus one."""
+def _sketches(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, h0, h1, n, s0, ..., shingles) of every row with a word: 128 bits of hash of its set of shingles, their number, a
+    parity sketch (each shingle turns one bit over), and the hashes in order."""
     kind = docs.schema[id_col].dataType
     bits = 64 * SKETCH
 
@@ -161,29 +162,67 @@ def _sketches(docs: DataFrame, words: int, similarity: float, id_col: str, text_
                     named = [np.array([W.mix(x ^ np.uint64(salt)).sum(dtype=np.uint64) for x in sets], np.uint64) for salt in (0, 0x9E3779B97F4A7C15)]
                 odd = np.array([np.bincount((x & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1 for x in sets], np.uint8)
                 sketch = np.packbits(odd.reshape(-1, bits), axis=1, bitorder="little").view("<i8")
-                length = n - np.ceil(similarity * n - 1e-6).astype(np.int64) + 1
-                prefix = pa.array([x[:k].view(np.int64) for x, k in zip(sets, length, strict=True)], pa.list_(pa.int64()))
                 columns = [*(x.view(np.int64) for x in named), n, *(np.ascontiguousarray(sketch[:, k]) for k in range(SKETCH))]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some + at)), *map(pa.array, columns), prefix], names)
+                hashes = pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some + at)), *map(pa.array, columns), hashes], names)
 
-    names = ["id", "h0", "h1", "n", *(f"s{k}" for k in range(SKETCH)), "prefix"]
-    schema = f"id {kind.simpleString()}, " + ", ".join(f"{c} long" for c in names[1:-1]) + ", prefix array<long>"
+    names = ["id", "h0", "h1", "n", *(f"s{k}" for k in range(SKETCH)), "shingles"]
+    schema = f"id {kind.simpleString()}, " + ", ".join(f"{c} long" for c in names[1:-1]) + ", shingles array<long>"
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string")).mapInArrow(run, schema)
 
 
-def _shingle_hashes(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, shingles): the distinct shingle hashes of each row, sorted."""
-    kind = docs.schema[id_col].dataType
+def _prefix_length(similarity: float) -> Column:
+    """Shingles of a set of n of which a similar set must have one, in any order of all shingles."""
+    return F.col("n") - _least_shared(F.col("n"), similarity) + 1
+
+
+def _common(sets: DataFrame, similarity: float, scratch: Scratch) -> np.ndarray:
+    """The shingle hashes that over BUCKET texts have near their least ones, in order; no more than COMMON, the most frequent.
+
+    They come last in the order of prefixes. Any set of them gives the same result: those that do not fit make large buckets."""
+    near = F.slice("shingles", F.lit(1), (2 * _prefix_length(similarity)).cast("int"))
+    floor = BUCKET
+    often = scratch.keep(sets.select(F.explode(near).alias("key")).groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > floor), "often")
+    while often.where(F.col("m") > floor).count() > COMMON:
+        floor *= 2
+    keys = often.where(F.col("m") > floor).select("key").toArrow()["key"].to_numpy()
+    scratch.drop("often")
+    return np.sort(keys.astype(np.int64).view(np.uint64))
+
+
+def _prefixes(sets: DataFrame, common: np.ndarray, similarity: float) -> DataFrame:
+    """sets with, in place of the shingles, the first of them (prefix; see `_prefix_length`) in an order of all: those that
+    are not common, then those that are, each by hash. late, end: whether the last of them is common, and its hash."""
+    kept = [c for c in sets.columns if c != "shingles"]
+    schema = ", ".join(f"{c} {sets.schema[c].dataType.simpleString()}" for c in kept) + ", prefix array<long>, late boolean, end long"
+    held = sets.sparkSession.sparkContext.broadcast(common)
 
     def run(batches):
+        often = held.value
         for batch in batches:
-            for at, to, t in W.texts(batch.column(1)):
-                h, shingles, _ = _shingles(t, words)
-                cuts = np.concatenate([[0], np.cumsum(shingles)])
-                lists = [np.unique(h[a:b]).view(np.int64) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(lists, pa.list_(pa.int64()))], ["id", "shingles"])
-
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string")).mapInArrow(run, f"id {kind.simpleString()}, shingles array<long>")
+            lists = batch.column(batch.schema.get_field_index("shingles"))
+            cuts = lists.offsets.to_numpy().astype(np.int64)
+            values = lists.values.to_numpy()[cuts[0] : cuts[-1]].view(np.uint64)
+            cuts = cuts - cuts[0]
+            n = np.diff(cuts)
+            length = n - np.ceil(similarity * n - 1e-6).astype(np.int64) + 1
+            doc = np.repeat(np.arange(len(n)), n)
+            late = np.zeros(len(values), bool)
+            if len(often):
+                late = often[np.minimum(np.searchsorted(often, values), len(often) - 1)] == values
+            before = np.concatenate([[0], np.cumsum(late)])
+            lates, ahead = before[cuts[1:]] - before[cuts[:-1]], before[:-1] - before[cuts[:-1]][doc]
+            place = np.arange(len(values)) - cuts[:-1][doc]
+            rank = np.where(late, (n - lates)[doc] + ahead, place - ahead)
+            taken = np.flatnonzero(rank < length[doc])
+            taken = taken[np.lexsort((rank[taken], doc[taken]))]
+            ends = np.cumsum(length)
+            prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(values[taken].view(np.int64)))
+            last = taken[ends - 1]
+            flipped = (values[last] ^ np.uint64(1 << 63)).view(np.int64)  # signed in the order of the unsigned
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept), prefix, pa.array(late[last]), pa.array(flipped)], [*kept, "prefix", "late", "end"])
+
+    return sets.mapInArrow(run, schema)
 
 
 def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -191,36 +230,40 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
     Jaccard similarity of `similarity` at least.
 
     Exact but for equal hashes of shingles: two such sets share one of the first n less `_least_shared`
-    plus one of either, in any order of all shingles. Here it is that of the hashes, so each text goes
-    to a bucket for each of its least hashes (a fifth of them at 0.8). Pairs go on if the buckets that
+    plus one of either, in any order of all shingles. Here those in many texts come last and the others go
+    by hash, so each text goes to a bucket for each of its least hashes (a fifth of them at 0.8), and a
+    passage that many texts share makes no bucket unless a text has little else. Pairs go on if the buckets that
     they share, what follows, and the parity sketches (which differ in no more bits than the sets in
-    shingles) allow the similarity, and each is verified on the shingles. Large buckets (many variants of one text, or
-    a common passage) are first held against their least id only; members of those that this does not
+    shingles) allow the similarity, and each is verified on the shingles. Large buckets (many variants of one
+    text) are first held against their least id only; members of those that this does not
     make one group are all compared with each other by `_dense_links`. A text that fell is compared like
     any other. Texts without words and rows without an id take no part; rows with one id are judged together.
     """
     scratch = Scratch(docs.sparkSession)
     docs = docs.where(F.col(id_col).isNotNull())
-    sketches = scratch.keep(_sketches(docs, words, similarity, id_col, text_col).withColumn("at", F.monotonically_increasing_id()), "sketches")
+    sketches = scratch.keep(_sketches(docs, words, id_col, text_col).withColumn("at", F.monotonically_increasing_id()), "sketches")
     # equal sets first: groups of exact copies end here
     least = scratch.keep(sketches.groupBy("h0", "h1").agg(F.min(F.struct("id", "at")).alias("first")), "distinct")
     copies = sketches.select("id", "h0", "h1").join(least, ["h0", "h1"]).where(F.col("id") != F.col("first.id"))
     copies = scratch.keep(copies.select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct(), "copies")
-    left = scratch.keep(sketches.join(least.select(F.col("first.at").alias("at")), "at", "left_semi"), "left")
-    scratch.drop("sketches", "distinct")
+    # by file and place: the rows of exact copies go without a shuffle of the shingles where their ids are few enough
+    again = scratch.keep(sketches.select("at", "h0", "h1").join(least, ["h0", "h1"]).where(F.col("at") != F.col("first.at")).select("at"), "again")
+    few = F.broadcast if again.count() <= BROADCAST_IDS else lambda df: df
+    sets = sketches.join(few(again), "at", "left_anti").drop("at", "h0", "h1")
+    left = scratch.keep(_prefixes(sets, _common(sets, similarity, scratch), similarity), "left")
     parts = [_bucket_pairs(left.select("id", "n", F.posexplode("prefix").alias("pos", "key")).where(F.pmod("key", F.lit(PARTS)) == k), similarity, scratch, str(k)) for k in range(PARTS)]
     pairs, many = (reduce(DataFrame.union, side) for side in zip(*parts, strict=True))
     pairs = scratch.keep(pairs.groupBy("a", "b").agg(F.sum("c").alias("c"), F.bool_or("room").alias("room")).where("room"), "pairs")
     many = scratch.keep(many, "many")
     scratch.drop(*(f"{name}-{k}" for k in range(PARTS) for name in ("pairs", "many")))
-    found = copies.union(scratch.keep(_verified(pairs, left, many, docs, words, similarity, id_col, text_col, scratch), "links"))
+    found = copies.union(scratch.keep(_verified(pairs, left, many, sets, similarity, scratch), "links"))
     scratch.drop("near", "wanted", "sets", "first", "rest", "least-roots")
     roots = scratch.keep(components(found, scratch), "roots")
     named = many.join(roots, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("root", "id").alias("root"))
     apart = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
     open_ = scratch.keep(named.join(apart, "key").select("id", "root").distinct(), "open")
     if open_.limit(1).count():
-        more = scratch.keep(_dense_links(open_, docs, words, similarity, id_col, text_col, scratch), "more")
+        more = scratch.keep(_dense_links(open_, sets, similarity, scratch), "more")
         roots = scratch.keep(components(found.union(more), scratch), "all-roots")
     scratch.drop(*(n for n in tuple(scratch.made) if n not in ("roots", "all-roots")))
     return roots.where("node <> root").select(F.col("node").alias("id"), F.col("root").alias("first"))
@@ -249,7 +292,7 @@ def _least_shared(n: Column, similarity: float) -> Column:
     return F.ceil(n * F.lit(similarity) - F.lit(1e-6))
 
 
-def _dense_links(some: DataFrame, docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str, scratch: Scratch) -> DataFrame:
+def _dense_links(some: DataFrame, sets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
     """Links (a, b) that connect all texts of some(id, root) which verified pairs of them connect beyond their roots.
 
     Prefix filter: with the shingles of all sets in one order, rare ones first, two similar sets share
@@ -257,8 +300,7 @@ def _dense_links(some: DataFrame, docs: DataFrame, words: int, similarity: float
     members are expanded into pairs. Larger ones are dealt into chunks of about CHUNK shingles, and
     every pair of chunks is compared whole by one task, which returns no more links than it has texts.
     """
-    sets = _shingle_hashes(docs.join(some.select(F.col("id").alias("__some")), F.col(id_col) == F.col("__some"), "left_semi").select(id_col, text_col), words, id_col, text_col)
-    sets = scratch.keep(sets.where(F.size("shingles") > 0).distinct().join(some, "id").select(F.monotonically_increasing_id().alias("at"), "id", "root", F.size("shingles").alias("n"), "shingles"), "dense-sets")
+    sets = scratch.keep(sets.select("id", "shingles").join(some, "id").distinct().select(F.monotonically_increasing_id().alias("at"), "id", "root", F.size("shingles").alias("n"), "shingles"), "dense-sets")
     flat = sets.select("at", "id", "root", "n", F.explode("shingles").alias("key"))
     times = scratch.keep(flat.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "dense-times")
     # shingles of one set alone come first in the order; they need no rows, only their number
@@ -278,7 +320,7 @@ def _dense_links(some: DataFrame, docs: DataFrame, words: int, similarity: float
     count = F.ceil(F.col("weight") / CHUNK).cast("int")
     dealt = placed.where(F.col("m") > BUCKET).select("at", "key", F.pmod(F.xxhash64("at"), count).cast("int").alias("chunk"), F.explode(F.sequence(F.lit(0), count - 1)).alias("other"))
     dealt = dealt.select("at", "key", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
-    kind = docs.schema[id_col].dataType.simpleString()
+    kind = sets.schema["id"].dataType.simpleString()
     wide = dealt.join(sets.select("at", "id", "root", "shingles"), "at").select("key", "low", "high", (F.col("chunk") == F.col("low")).alias("lower"), "id", "root", "shingles")
     return both.union(wide.groupBy("key", "low", "high").applyInArrow(_chunk_links(similarity), f"a {kind}, b {kind}")).distinct()
 
@@ -326,7 +368,7 @@ def _alike(x: str, y: str, similarity: float) -> Column:
     return shared >= similarity * (F.size(x) + F.size(y) - shared)
 
 
-def _verified(pairs: DataFrame, left: DataFrame, many: DataFrame, docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str, scratch: Scratch) -> DataFrame:
+def _verified(pairs: DataFrame, left: DataFrame, many: DataFrame, sets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
     """Links (a, b) that connect what the similar ones of these pairs connect.
 
     Of the shingles up to the end of the shorter prefix, two sets share the buckets that they share (those
@@ -335,8 +377,8 @@ def _verified(pairs: DataFrame, left: DataFrame, many: DataFrame, docs: DataFram
     Each text is held against its least candidate first. Pairs that the links so found connect already are
     not read again, so that a group of variants costs about as many comparisons as it has texts."""
     held = left.join(many.groupBy("id").agg(F.count("*").alias("large")), "id", "left").withColumns(
-        # the last hash of the prefix, in the unsigned order in which it was taken
-        {"large": F.coalesce("large", F.lit(0)), "end": F.element_at("prefix", -1).bitwiseXOR(F.lit(-(1 << 63)).cast("long")), "rest": F.col("n") - F.size("prefix")}
+        # end: the place of the prefix's last shingle in the order of all
+        {"large": F.coalesce("large", F.lit(0)), "end": F.struct("late", "end"), "rest": F.col("n") - F.size("prefix")}
     )
     side = lambda s: held.select(F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("n", "large", "end", "rest")], *[F.col(f"s{k}").alias(f"{s}{k}") for k in range(SKETCH)])
     after = F.when(F.col("a_end") <= F.col("b_end"), F.col("a_rest")).otherwise(F.col("b_rest"))
@@ -348,8 +390,7 @@ def _verified(pairs: DataFrame, left: DataFrame, many: DataFrame, docs: DataFram
     scratch.drop("left", "pairs")
     wanted = scratch.keep(near.select(F.explode(F.array("a", "b")).alias("__wanted")).distinct(), "wanted")
     few = F.broadcast if wanted.count() <= BROADCAST_IDS else lambda df: df
-    texts = docs.join(few(wanted), F.col(id_col) == F.col("__wanted"), "left_semi").select(id_col, text_col)
-    sets = scratch.keep(_shingle_hashes(texts, words, id_col, text_col), "sets")
+    sets = scratch.keep(sets.select("id", "shingles").join(few(wanted), F.col("id") == F.col("__wanted"), "left_semi"), "sets")
     first = scratch.keep(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
     links = _alike_pairs(first, sets, similarity, scratch, "least")
     roots = scratch.keep(components(links, scratch), "least-roots")
