@@ -6,6 +6,7 @@ points runs in one numpy function for each raster, and the pixels are tested by
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +46,10 @@ def convex_ring(points: np.ndarray) -> np.ndarray:
 
 
 def triangulate(points: np.ndarray) -> np.ndarray:
-    """Delaunay triangles (rows of three point numbers) by incremental insertion; a tiny fixed jitter settles co-circular points."""
+    """Delaunay triangles (rows of three point numbers) by incremental insertion; a tiny fixed jitter settles co-circular points.
+
+    Points come in order of their first coordinate. The triangles whose circle holds the next point hang together, so they are
+    reached from the last ones made, over shared sides: time grows about as the number of points."""
     pts = np.asarray(points, float)
     n = len(pts)
     if n < 3:
@@ -53,29 +57,89 @@ def triangulate(points: np.ndarray) -> np.ndarray:
     rng = np.random.default_rng(7)
     p = pts + rng.uniform(-1e-4, 1e-4, pts.shape)
     mid, size = p.mean(0), max(np.ptp(p, axis=0).max(), 1.0) * 50
-    p = np.vstack([p, mid + [-2 * size, -size], mid + [2 * size, -size], mid + [0, 2 * size]])
-    tri = np.array([[n, n + 1, n + 2]])
-
-    def circle(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        a, b, c = p[t[:, 0]], p[t[:, 1]], p[t[:, 2]]
-        d = 2 * (a[:, 0] * (b[:, 1] - c[:, 1]) + b[:, 0] * (c[:, 1] - a[:, 1]) + c[:, 0] * (a[:, 1] - b[:, 1]))
-        d = np.where(d == 0, 1e-300, d)
-        sq = [(x * x).sum(1) for x in (a, b, c)]
-        ux = (sq[0] * (b[:, 1] - c[:, 1]) + sq[1] * (c[:, 1] - a[:, 1]) + sq[2] * (a[:, 1] - b[:, 1])) / d
-        uy = (sq[0] * (c[:, 0] - b[:, 0]) + sq[1] * (a[:, 0] - c[:, 0]) + sq[2] * (b[:, 0] - a[:, 0])) / d
-        o = np.stack([ux, uy], 1)
-        return o, ((a - o) ** 2).sum(1)
-
-    centre, radius = circle(tri)
-    for i in np.lexsort((p[:n, 1], p[:n, 0])):
-        bad = ((p[i] - centre) ** 2).sum(1) < radius
-        edges = np.sort(np.concatenate([tri[bad][:, [0, 1]], tri[bad][:, [1, 2]], tri[bad][:, [2, 0]]]), axis=1)
-        only, counts = np.unique(edges, axis=0, return_counts=True)
-        rim = only[counts == 1]
-        new = np.column_stack([rim, np.full(len(rim), i)])
-        c, r = circle(new)
-        tri, centre, radius = np.vstack([tri[~bad], new]), np.vstack([centre[~bad], c]), np.concatenate([radius[~bad], r])
-    return tri[(tri < n).all(1)]
+    order = np.lexsort((p[:, 1], p[:, 0])).tolist()
+    at = np.vstack([p, mid + [-2 * size, -size], mid + [2 * size, -size], mid + [0, 2 * size]]).tolist()
+    tri: list[tuple[int, int, int] | None] = []
+    circles: list[tuple[float, float, float]] = []
+    beside: list[list[int]] = []  # the triangle over the side that faces each corner, -1 for none
+    free: list[int] = []
+
+    def make(t: tuple[int, int, int], near: list[int]) -> int:
+        (ax, ay), (bx, by), (cx, cy) = at[t[0]], at[t[1]], at[t[2]]
+        d = 2 * (ax * (by - cy) + bx * (cy - ay) + cx * (ay - by)) or 1e-300
+        sa, sb, sc = ax * ax + ay * ay, bx * bx + by * by, cx * cx + cy * cy
+        ux = (sa * (by - cy) + sb * (cy - ay) + sc * (ay - by)) / d
+        uy = (sa * (cx - bx) + sb * (ax - cx) + sc * (bx - ax)) / d
+        circle = (ux, uy, (ax - ux) * (ax - ux) + (ay - uy) * (ay - uy))
+        if free:
+            k = free.pop()
+            tri[k], circles[k], beside[k] = t, circle, near
+            return k
+        tri.append(t)
+        circles.append(circle)
+        beside.append(near)
+        return len(tri) - 1
+
+    def holds(k: int, x: float, y: float) -> bool:
+        ux, uy, r = circles[k]
+        return (x - ux) * (x - ux) + (y - uy) * (y - uy) < r
+
+    def turn(a: int, b: int, x: float, y: float) -> float:
+        (ax, ay), (bx, by) = at[a], at[b]
+        return (bx - ax) * (y - ay) - (by - ay) * (x - ax)
+
+    def find(k: int, x: float, y: float) -> int:
+        """A triangle whose circle holds the point, on the way to it from triangle k."""
+        for _ in range(len(tri) + 1):
+            if holds(k, x, y):
+                return k
+            t = tri[k]
+            for j in range(3):
+                a, b = t[j - 2], t[j - 1]
+                if beside[k][j] >= 0 and turn(a, b, x, y) * turn(a, b, *at[t[j]]) < 0:
+                    k = beside[k][j]
+                    break
+            else:
+                break
+        return next((k for k, t in enumerate(tri) if t is not None and holds(k, x, y)), -1)
+
+    last = make((n, n + 1, n + 2), [-1, -1, -1])
+    for i in order:
+        x, y = at[i]
+        start = find(last, x, y)
+        if start < 0:
+            continue
+        bad, todo, rim = {start}, [start], []
+        while todo:
+            k = todo.pop()
+            t = tri[k]
+            for j in range(3):
+                o = beside[k][j]
+                if o in bad:
+                    continue
+                if o >= 0 and holds(o, x, y):
+                    bad.add(o)
+                    todo.append(o)
+                else:
+                    a, b = t[j - 2], t[j - 1]
+                    rim.append((min(a, b), max(a, b), o, k))
+        new, open_ = [], {}
+        for a, b, o, k in rim:
+            m = make((a, b, i), [-1, -1, o])
+            new.append(m)
+            if o >= 0:
+                beside[o][beside[o].index(k)] = m
+            for corner, j in ((a, 1), (b, 0)):  # the side of this corner and the new point
+                if corner in open_:
+                    m2, j2 = open_.pop(corner)
+                    beside[m][j], beside[m2][j2] = m2, m
+                else:
+                    open_[corner] = (m, j)
+        for k in bad:
+            tri[k] = None
+        free.extend(bad)
+        last = new[-1]
+    return np.array([t for t in tri if t is not None and max(t) < n], int).reshape(-1, 3)
 
 
 def concave_triangles(points: np.ndarray, tri: np.ndarray, concavity: float = 0.5) -> np.ndarray:
@@ -186,9 +250,8 @@ def concave_hull_image(df: DataFrame, flag: str, concavity: float = 0.5, out: st
         pts = pdf[["r", "c"]].to_numpy(float)
         tri = concave_triangles(pts, triangulate(pts), concavity)
         rows = []
-        for t in tri:
-            q = pts[t]
-            for r in range(int(np.ceil(q[:, 0].min())), int(np.floor(q[:, 0].max())) + 1):
+        for q in pts[tri].tolist():
+            for r in range(math.ceil(min(x for x, _ in q)), math.floor(max(x for x, _ in q)) + 1):
                 xs = []
                 for a, b in ((0, 1), (1, 2), (2, 0)):
                     (r1, c1), (r2, c2) = q[a], q[b]
@@ -198,7 +261,7 @@ def concave_hull_image(df: DataFrame, flag: str, concavity: float = 0.5, out: st
                     elif min(r1, r2) <= r <= max(r1, r2):
                         xs.append(c1 + (r - r1) * (c2 - c1) / (r2 - r1))
                 if xs:
-                    rows.append((r, int(np.ceil(min(xs) - 1e-9)), int(np.floor(max(xs) + 1e-9))))
+                    rows.append((r, math.ceil(min(xs) - 1e-9), math.floor(max(xs) + 1e-9)))
         out_ = pd.DataFrame(rows, columns=["r", "a", "b"])
         out_.insert(0, "rid", pdf["rid"].iloc[0])
         return out_[out_.a <= out_.b]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ _HALF = {4: [(0, 1), (1, 0)], 8: [(0, 1), (1, 0), (1, 1), (1, -1)]}
 #: Rounds of `components`, about the logarithm of the longest path of runs; more raise an error rather than split components.
 MOST_ROUNDS = 60
 
+#: Edges between the blocks of one raster up to which one task joins them; more take the rounds.
+MOST_HELD = 1_000_000
+
 
 def _runs(df: DataFrame, flag: Column) -> DataFrame:
     """(rid, r, a, b): runs of set pixels within a row. A long feature is a few runs, so rounds work on far fewer rows."""
@@ -23,11 +28,26 @@ def _runs(df: DataFrame, flag: Column) -> DataFrame:
     return on.groupBy("rid", "r", "_g").agg(F.min("c").alias("a"), F.max("c").alias("b")).drop("_g")
 
 
+def _least_roots(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(rid, node, root): the least node joined to each node of the edges (rid, u, v) of one raster."""
+    nodes, at = np.unique(pdf[["u", "v"]].to_numpy(), return_inverse=True)
+    u, v = at.reshape(-1, 2).T
+    root = np.arange(len(nodes))
+    while (root[u] != root[v]).any():
+        a, b = root[u], root[v]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+    return pd.DataFrame({"rid": pdf["rid"].iloc[0], "node": nodes, "root": nodes[root]})
+
+
 def components(df: DataFrame, flag: Column, connectivity: int = 8) -> DataFrame:
     """(rid, r, c, label, size) of all set pixels; label: the least (row, column) of the component's runs as one number.
 
-    Runs of neighbouring rows that touch are joined, and large-star and small-star rounds name the
-    components: each halves the distance to the least member, so a few rounds do for any shape.
+    Runs of neighbouring rows that touch are joined, first within blocks of 1024 x 1024 pixels, each in
+    one task, then the parts of blocks over the edges between blocks. Where these are more than
+    MOST_HELD, large-star and small-star rounds join them: each halves the distance to the least
+    member, so a few rounds do for any shape.
     """
     rounds = Rounds(df.sparkSession)
     slack = 1 if connectivity == 8 else 0
@@ -41,6 +61,29 @@ def components(df: DataFrame, flag: Column, connectivity: int = 8) -> DataFrame:
     edges = cells.join(lower, ["rid", "r", "cell"]).where(touch).select("rid", F.greatest("node", "v").alias("u"), F.least("node", "v").alias("v")).distinct()
     loop = Rounds(df.sparkSession)
     edges = loop.keep(edges)
+    kind = f"rid {df.schema['rid'].dataType.simpleString()}, node long, root long"
+    block = lambda n: F.struct(F.shiftright(n, 42), F.shiftright(F.col(n).bitwiseAND(0xFFFFFFFF), 10))
+    within = edges.where(block("u") == block("v"))
+    parts = rounds.keep(within.groupBy("rid", block("u")).applyInPandas(_least_roots, kind))
+    edges = edges.where(block("u") != block("v"))
+    for end in ("u", "v"):
+        part = parts.select("rid", F.col("node").alias(end), "root")
+        edges = edges.join(part, ["rid", end], "left").withColumn(end, F.coalesce("root", end)).drop("root")
+    edges = loop.keep(edges.select("rid", F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
+    if (edges.groupBy("rid").count().agg(F.max("count")).first()[0] or 0) <= MOST_HELD:
+        joined = loop.keep(edges.groupBy("rid").applyInPandas(_least_roots, kind))
+    else:
+        joined = _star_rounds(edges, loop).select("rid", F.col("u").alias("node"), F.col("v").alias("root"))
+    part, whole = parts.select("rid", "node", F.col("root").alias("part")), joined.select("rid", F.col("node").alias("part"), "root")
+    named = runs.join(part, ["rid", "node"], "left").withColumn("part", F.coalesce("part", "node"))
+    named = named.join(whole, ["rid", "part"], "left").withColumn("label", F.coalesce("root", "part"))
+    sizes = named.groupBy("rid", "label").agg(F.sum(F.col("b") - F.col("a") + 1).alias("size"))
+    named = named.join(sizes, ["rid", "label"])
+    return named.select("rid", "r", F.explode(F.sequence("a", "b")).alias("c"), "label", "size")
+
+
+def _star_rounds(edges: DataFrame, loop: Rounds) -> DataFrame:
+    """(rid, u, v): the least node v joined to each node u of the edges (u over v)."""
     last = None
     for _ in range(MOST_ROUNDS):
         both = edges.select("rid", "u", "v").union(edges.select("rid", F.col("v"), F.col("u")))
@@ -52,14 +95,9 @@ def components(df: DataFrame, flag: Column, connectivity: int = 8) -> DataFrame:
         edges = loop.keep(edges)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("rid", "u", "v").cast("decimal(38,0)"))).first()
         if now == last:
-            break
+            return edges
         last = now
-    else:
-        raise RuntimeError(f"components: not finished after {MOST_ROUNDS} rounds")
-    named = runs.join(edges.select("rid", F.col("u").alias("node"), F.col("v").alias("root")), ["rid", "node"], "left").withColumn("label", F.coalesce("root", "node"))
-    sizes = named.groupBy("rid", "label").agg(F.sum(F.col("b") - F.col("a") + 1).alias("size"))
-    named = named.join(sizes, ["rid", "label"])
-    return named.select("rid", "r", F.explode(F.sequence("a", "b")).alias("c"), "label", "size")
+    raise RuntimeError(f"components: not finished after {MOST_ROUNDS} rounds")
 
 
 def area_open(df: DataFrame, flag: str, least: int, connectivity: int = 8, out: str | None = None) -> DataFrame:

@@ -95,7 +95,7 @@ def edge_mask(df: DataFrame, good: str, res: float | None = None, least: int | N
     A raster without good pixels, or with none left, has nothing set."""
     least = least if least is not None else int(math.floor(1000 * 2 / (res or 1)))
     df = zonal.fill_holes(df, good, "_in")
-    df = zonal.area_open(df, "_in", least)
+    df = Rounds(df.sparkSession).keep(zonal.area_open(df, "_in", least))  # read four times from here
     some = df.groupBy("rid").agg(F.bool_or("_in").alias("_some"))
     df = hull.concave_hull_image(df, "_in", concavity, "_hull")
     if crop:
@@ -145,15 +145,17 @@ def rough_mask(df: DataFrame, res: float = 8.0, k: int = 21, rough: float = 0.75
 
 def density_mask(df: DataFrame, res: float, old: bool = False, entropy: bool = False, out: str = "mask") -> DataFrame:
     """The first mask: off the dense matches' concave hull, and inside it where matches are rare."""
+    keep = Rounds(df.sparkSession)
     k, p = (kernel_for(res), 0.8) if old else (kernel_for(res, 101), 0.99)
     df = focal.data_density(df, F.col("m") > 0, k, "_d").withColumn("_good", F.col("_d") >= p)
     if entropy:
         df = entropy_mask(df, kernel_for(res if res > 8 else 8.0), out="_flat")
         df = df.withColumn("_good", F.col("_good") | F.col("_flat")).drop("_flat")
-    df = edge_mask(df, "_good", res=res, crop=k)
+    df = keep.keep(edge_mask(keep.keep(df), "_good", res=res, crop=k))
     n, q, small, gap = (kernel_for(res), 0.3, 1000, 10_000) if old else (kernel_for(res, 101), 0.9, 1000, 1000)
     df = focal.data_density(df.withColumn("_m", (F.col("m") > 0) & ~F.col("edge")), F.col("_m"), n, "_d").withColumn("_keep", F.col("_d") >= q)
-    df = zonal.clean_mask(df, "_keep", small, gap)
+    df = keep.keep(zonal.area_open(keep.keep(df), "_keep", small))
+    df = zonal.drop_gaps(df, "_keep", gap)
     return df.withColumn(out, ~F.col("_keep") | F.col("edge")).drop("_d", "_good", "_m", "_keep", "edge")
 
 
