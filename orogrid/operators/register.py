@@ -34,11 +34,19 @@ def shifted(moving: DataFrame, offset: tuple[float, float, float], cell: float,
     return moving.withColumn(value, F.col(value) - dz)
 
 
-def step_table(fixed: DataFrame, moved: DataFrame, cell: float) -> DataFrame:
-    """(rid, r, c, dz, sx, sy): difference to the fixed grid and slopes of the moved one, outliers left out."""
+def differences(fixed: DataFrame, moved: DataFrame, cell: float) -> DataFrame:
+    """(rid, r, c, dz, sx, sy): difference to the fixed grid where there is one, and slopes of the moved one."""
     slopes = focal.gradient(moved, "z", cell, cell)
     both = slopes.select(*grid.KEY, "z", (-F.col("gx")).alias("sx"), F.col("gy").alias("sy")).join(fixed.select(*grid.KEY, F.col("z").alias("_ref")), list(grid.KEY))
-    both = both.withColumn("dz", F.col("z") - F.col("_ref")).where("dz is not null")
+    return both.withColumn("dz", F.col("z") - F.col("_ref")).where("dz is not null").select(*grid.KEY, "dz", "sx", "sy")
+
+
+def step_table(fixed: DataFrame, moved: DataFrame, cell: float) -> DataFrame:
+    """(rid, r, c, dz, sx, sy): difference to the fixed grid and slopes of the moved one, outliers left out."""
+    return _fit_rows(differences(fixed, moved, cell))
+
+
+def _fit_rows(both: DataFrame) -> DataFrame:
     return stats.outlier_filter(both, "dz").where("sx is not null and sy is not null").select(*grid.KEY, "dz", "sx", "sy")
 
 
@@ -46,23 +54,25 @@ def register(fixed: DataFrame, moving: DataFrame, cell: float = 1.0, guess: tupl
     """Offset of `moving` (rid, r, c, z) against `fixed`, one raster each, on the same pixel grid (y falls with r).
 
     Each round moves the grid by the offset so far, compares, and fits the differences to the slopes;
-    a round costs two aggregates, whatever the size of the grids. It stops when the RMSE falls by
+    a round costs a few aggregates, whatever the size of the grids. Both grids and the differences of a
+    round are written, so that no round computes the grids again. It stops when the RMSE falls by
     less than -least_step, and then keeps the round before. If that is the second round, or an offset
     exceeds `most`, the median difference alone is used; without common pixels there is no result.
     """
     keep = Rounds(fixed.sparkSession)
+    fixed, moving = (Rounds(df.sparkSession).keep(df.select(*grid.KEY, "z")) for df in (fixed, moving))
     p, err = (guess or (0.0, 0.0, 0.0)), (0.0, 0.0, 0.0)
     now, now_err, best, best_rmse, median = p, err, None, None, None
     for it in range(1, rounds + 1):
         if max(abs(now[1]), abs(now[2])) > most:
             return _median_only(median, it, guess, fixed, moving, cell, hold, most, least_step, rounds)
-        table = keep.keep(step_table(fixed, shifted(moving, now, cell), cell))
+        table = keep.keep(_fit_rows(keep.keep(differences(fixed, shifted(moving, now, cell), cell))))
         row = stats.solve(stats.normal_sums(table, "dz", "sx", "sy")).first()
         if row is None or row.n < LEAST_POINTS:
             return Registration(None, None, None, it)
         rmse = math.sqrt(row.syy / row.n)
         if it == 1 and guess is None:
-            m = table.agg(F.median("dz").alias("m"), F.stddev_pop("dz").alias("s")).first()
+            m = table.groupBy("rid").agg(F.stddev_pop("dz").alias("s")).join(stats.medians(table, "dz", "m"), "rid").first()
             about = table.agg(F.sqrt(F.avg((F.col("dz") - m.m) * (F.col("dz") - m.m)))).first()[0]
             median = (m.m, m.s / math.sqrt(row.n), about)
         if best_rmse is not None and rmse - best_rmse > least_step:

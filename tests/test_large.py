@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orogrid.operators import hull, zonal
+from orogrid.operators import hull, register, stats, zonal
 
 
 def test_long_strips_are_triangulated_in_time(spark):
@@ -59,3 +59,34 @@ def test_components_over_blocks(spark, connectivity, rounds, monkeypatch):
     want = _flood(on, [(0, 1), (0, -1), (1, 0), (-1, 0)] + ([(1, 1), (1, -1), (-1, 1), (-1, -1)] if connectivity == 8 else []))
     assert (got == want).all()
     assert all((size[want == k] == (want == k).sum()).all() for k in np.unique(want[on]))
+
+
+def test_registration_computes_its_grids_once(spark):
+    """Rounds read what is written: the grids, however they are made, are not made again in each round."""
+    y, x = np.indices((40, 40))
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            made.add(len(pdf))
+            yield pdf
+
+    def grid(z):
+        rows = [(0, int(i), int(j), float(z[i, j])) for i, j in np.ndindex(z.shape)]
+        return spark.createDataFrame(rows, "rid int, r int, c int, z double").mapInPandas(count, "rid int, r int, c int, z double")
+
+    z = 5 * np.sin(x / 5) + 4 * np.cos(y / 6) + 0.1 * x
+    moved = 5 * np.sin((x - 0.3) / 5) + 4 * np.cos((y - 0.2) / 6) + 0.1 * (x - 0.3) + 0.5
+    got = register.register(grid(z), grid(moved))
+    np.testing.assert_allclose(got.offset, (0.5, 0.3, -0.2), atol=0.05)
+    assert got.rounds > 1 and made.value == 2 * z.size
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 11, 4000, 4001])
+def test_medians_are_exact(spark, n):
+    g = np.random.default_rng(n)
+    values = [g.normal(size=n), g.integers(0, 3, n).astype(float), np.full(n, 2.5), np.repeat([-1.0, 4.0], n)]
+    rows = [(k, float(v)) for k, vs in enumerate(values) for v in vs] + [(0, None), (9, None)]
+    got = dict(map(tuple, stats.medians(spark.createDataFrame(rows, "rid int, v double"), "v").collect()))
+    assert got.keys() == {0, 1, 2, 3}
+    assert all(got[k] == np.median(vs) for k, vs in enumerate(values))
