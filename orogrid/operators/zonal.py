@@ -106,10 +106,16 @@ def area_open(df: DataFrame, flag: str, least: int, connectivity: int = 8, out:
     return df.join(big, list(grid.KEY), "left").withColumn(out or flag, F.coalesce("_big", F.lit(False))).drop("_big")
 
 
-def fill_holes(df: DataFrame, flag: str, out: str | None = None) -> DataFrame:
-    """The flag, also set where unset pixels are cut off (by sides) from the raster's border."""
-    parts = components(df, ~F.coalesce(F.col(flag), F.lit(False)), 4).join(grid.extent(df), "rid")
-    outside = parts.where(grid.is_border()).select("rid", "label").distinct().withColumn("_out", F.lit(True))
+def fill_holes(df: DataFrame, flag: str, out: str | None = None, frame: tuple[int, int, int, int] | None = None) -> DataFrame:
+    """The flag, also set where unset pixels are cut off (by sides) from the raster's border.
+
+    frame: first and last row and column that are the border, where that is not the end of the table."""
+    parts = components(df, ~F.coalesce(F.col(flag), F.lit(False)), 4)
+    if frame:
+        border = F.col("r").isin(*frame[:2]) | F.col("c").isin(*frame[2:])
+    else:
+        parts, border = parts.join(grid.extent(df), "rid"), grid.is_border()
+    outside = parts.where(border).select("rid", "label").distinct().withColumn("_out", F.lit(True))
     holes = parts.join(outside, ["rid", "label"], "left").where("_out is null").select(*grid.KEY, F.lit(True).alias("_hole"))
     return df.join(holes, list(grid.KEY), "left").withColumn(out or flag, F.coalesce(F.col(flag), F.lit(False)) | F.coalesce("_hole", F.lit(False))).drop("_hole")
 
