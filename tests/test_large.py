@@ -94,7 +94,7 @@ def test_medians_are_exact(spark, n):
 
 
 #: Queries whose SQL fixes rows and columns 0 to 99.
-FRAMED = ["A13_best_window", "G1_bilinear", "G1_nearest", "W7_gradient", "F10_fill_holes", "F14_entropy", "F1_conv_valid", "F4_box_mean_replicate"]
+FRAMED = ["A13_best_window", "G1_bilinear", "G1_nearest", "W7_gradient", "F10_fill_holes", "F14_entropy", "F1_conv_valid", "F4_box_mean_replicate", "G1_bicubic"]
 
 
 @pytest.mark.parametrize("name", FRAMED)
