@@ -132,9 +132,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = F.split("text", "\n", -1)
 
     def kept(all_: Column) -> Column:
-        """The lines that stay, by a hashed intersection of line numbers."""
+        """The lines that stay, by hashed operations on line numbers. Words are counted only in lines that are not known to stay."""
         numbers = F.transform(all_, lambda x, i: i)
-        short = F.filter(F.transform(all_, lambda x, i: F.when(_count(_plain(x)) < least_words, i)), lambda i: i.isNotNull())
+        words = lambda x: F.get(F.transform(F.array(_plain(x)), _count), 0)  # noqa: E731  (an array of one: no word is sought twice)
+        short = F.filter(F.array_except(numbers, F.col("firsts")), lambda i: words(F.get(all_, i)) < least_words)
         return F.transform(F.array_intersect(numbers, F.concat("firsts", short)), lambda i: F.get(all_, i))
 
     out = out.select("columns", F.col("d.text").alias("text"), F.coalesce("firsts", F.array().cast("array<int>")).alias("firsts"), F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"))
